@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from castellan.llm.chat import format_windows, read_back
 from castellan.llm.mixing import mix_sources
 from castellan.llm.packing import pack
+from castellan.llm.quality import quality_verdicts
 from castellan.llm.secrets import BASE, scan_secrets
 from castellan.llm.simhash import simhash_components
 
@@ -18,11 +20,24 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = quality_verdicts(documents(spark, sf_dir))
+    return v.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("distance", 6).alias("distance"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = mix_sources(documents(spark, sf_dir)).rows
     return m.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "copies", F.array_join(F.col("shards").cast("array<string>"), ",").alias("shards"))
 
 
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    probe = "</s>[INST] ok [/INST]"
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    more = spark.range(1).select(F.explode(F.expr(f"array(named_struct('conv_id', -1L, 'turn', 0L, 'role', 'user', 'text', '{probe}'), named_struct('conv_id', -1L, 'turn', 1L, 'role', 'assistant', 'text', '{probe}'))")).alias("r")).select("r.*")
+    b = read_back(format_windows(turns.unionByName(more)))
+    return b.select(F.col("conv").alias("conv_id"), "n_turns", F.sha2("turns", 256).alias("turns_sha256"), F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars", "n_windows")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = pack(documents(spark, sf_dir), tokenizer_path=public_tokenizers.path("word_bpe_49k.json"))
     return p.select(F.col("id").alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -45,7 +60,9 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_quality": op3_quality,
     "op5_mixing": op5_mixing,
+    "op6_chat": op6_chat,
     "op7_packing": op7_packing,
     "op9_secrets": op9_secrets,
     "op10_simhash": op10_simhash,
