@@ -9,11 +9,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from castellan.llm.chat import format_windows, read_back
+from castellan.llm.imatch import imatch_with_edits
 from castellan.llm.mixing import mix_sources
 from castellan.llm.packing import pack
 from castellan.llm.quality import quality_verdicts
 from castellan.llm.secrets import BASE, scan_secrets
 from castellan.llm.simhash import simhash_components
+from castellan.llm.templates import line_report
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +27,11 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("distance", 6).alias("distance"))
 
 
+def op4_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = imatch_with_edits(documents(spark, sf_dir))
+    return m.select(F.col("id").alias("doc_id"), "n_chars", "edited_sha256", F.array_join("fp", "").alias("fingerprint"), F.array_join("edited_fp", "").alias("edited_fingerprint"), "near_edited", "near_next")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = mix_sources(documents(spark, sf_dir)).rows
     return m.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "copies", F.array_join(F.col("shards").cast("array<string>"), ",").alias("shards"))
@@ -43,6 +50,11 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(F.col("id").alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = line_report(documents(spark, sf_dir))
+    return r.select(F.col("id").alias("doc_id"), "n_lines", "n_dropped", "dropped", F.length("clean").cast("long").alias("clean_chars"), F.sha2("clean", 256).alias("clean_sha256"))
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_secrets(documents(spark, sf_dir))
 
@@ -61,9 +73,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": op3_quality,
+    "op4_imatch": op4_imatch,
     "op5_mixing": op5_mixing,
     "op6_chat": op6_chat,
     "op7_packing": op7_packing,
+    "op8_line_dedup": op8_line_dedup,
     "op9_secrets": op9_secrets,
     "op10_simhash": op10_simhash,
 }
