@@ -13,8 +13,10 @@ another; an empty table gives no rows; further columns are not read.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from math import ceil
 
 import numpy as np
@@ -26,44 +28,62 @@ from tokenizers import Tokenizer
 
 from castellan.workspace import keep
 
-#: Words whose ids a worker remembers; it starts anew when they are so many, which changes no result.
-REMEMBERED = 200_000
+#: Words whose ids a worker remembers in each of two generations; forgetting changes no result.
+REMEMBERED = 150_000
+#: Between words that are encoded together: a token of its own that no other text yields.
+BETWEEN = "|"
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a worker on each core already
 
 
 class WordTokenizer:
-    """Token ids of whole texts by a tokenizer that splits at blanks anyway, so that a frequent word is encoded once."""
+    """Token ids of whole texts by a tokenizer that splits at blanks anyway: a batch's new words are encoded once, in one string."""
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
+        (self.between,) = self.tokenizer.encode(BETWEEN, add_special_tokens=False).ids
         self.known: dict[bytes, bytes] = {}
-
-    def encode(self, text: str | None) -> bytes:
-        words = (text or "").encode("utf-8", "surrogatepass").split()
-        known = self.known
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            if len(known) > REMEMBERED:
-                known.clear()
-            new = [w for w in set(words) if w not in known]
-            texts = [w.decode("utf-8", "replace") for w in new]
-            ids = dict(zip(new, (np.array(e.ids, "<u2").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False))))
-            known.update((w, i) for w, i in ids.items() if len(w) <= 40)
-            return b"".join([known.get(w) or ids.get(w, b"") for w in words])
+        self.older: dict[bytes, bytes] = {}
+
+    def encode_batch(self, texts: list[str | None]) -> list[bytes]:
+        lists = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
+        if len(self.known) > REMEMBERED:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        new = set().union(*lists) - known.keys()
+        if again := new & older.keys():
+            known.update((w, older[w]) for w in again)
+            new -= again
+        apart = [w for w in new if b"|" in w]
+        together = list(new.difference(apart))
+        for at in range(0, len(together), 2000):
+            some = together[at : at + 2000]
+            ids = np.array(self.tokenizer.encode(f" {BETWEEN} ".join(w.decode("utf-8", "replace") for w in some), add_special_tokens=False).ids, "<u2")
+            ends = np.flatnonzero(ids == self.between).tolist()
+            data = ids.tobytes()
+            known.update((w, data[2 * a : 2 * b]) for w, a, b in zip(some, [0, *(e + 1 for e in ends)], [*ends, len(ids)]))
+        for w in apart:
+            known[w] = np.array(self.tokenizer.encode(w.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u2").tobytes()
+        return [b"".join([known[w] for w in words]) for words in lists]
+
+
+@lru_cache(maxsize=2)
+def word_tokenizer(path: str) -> WordTokenizer:
+    """One for each worker process, which serves many tasks."""
+    return WordTokenizer(path)
 
 
 def tokenized(docs: DataFrame, *, tokenizer_path: str, end_id: int, id: str = "doc_id", text: str = "text") -> DataFrame:
     """id, ids (binary, unsigned 16-bit little-endian, end_id last), n."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = WordTokenizer(tokenizer_path)
+        own = word_tokenizer(tokenizer_path)
         if own.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("the tokenizer's ids do not fit in 16 bits")
         end = np.array([end_id], "<u2").tobytes()
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 some = b.slice(at, 256)
-                ids = [own.encode(t.as_py()) + end for t in some.column(1)]
+                ids = [x + end for x in own.encode_batch(some.column(1).to_pylist())]
                 yield pa.RecordBatch.from_arrays([some.column(0), pa.array(ids, pa.binary()), pa.array([len(x) // 2 for x in ids], pa.int64())], ["id", "ids", "n"])
 
     kind = docs.schema[id].dataType.simpleString()
