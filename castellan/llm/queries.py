@@ -10,18 +10,38 @@ from pyspark.sql import functions as F
 
 from castellan.llm.chat import format_windows, read_back
 from castellan.llm.imatch import imatch_with_edits
+from castellan.llm.licenses import scan_licenses
 from castellan.llm.mixing import mix_sources
 from castellan.llm.packing import pack
 from castellan.llm.quality import quality_verdicts
 from castellan.llm.secrets import BASE, scan_secrets
+from castellan.llm.sharding import ShardedTable
 from castellan.llm.simhash import simhash_components
 from castellan.llm.templates import line_report
+from castellan.workspace import new_path
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    table = ShardedTable(spark, new_path(spark, "shards"), docs.schema)
+    table.append(docs)
+    table.compact(target_bytes=64 << 20)
+    table.vacuum()
+    rows = table.read()
+    shard = [F.col(f"_shard.{a}").alias(b) for a, b in (("name", "shard"), ("rows", "shard_rows"), ("bytes", "shard_bytes"), ("level", "level"), ("version", "version"))]
+    return rows.select("doc_id", F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("text_crc32"), "lang", "source", "n_chars", *shard)
+
+
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = scan_licenses(documents(spark, sf_dir))
+    one = F.transform("notices", lambda x: F.concat_ws(":", x["license"], x["start"].cast("string"), x["end"].cast("string"), (x["missing"] + x["extra"]).cast("string")))
+    return s.select(F.col("id").alias("doc_id"), "n_blocks", F.size("notices").cast("long").alias("n_notices"), F.array_join(one, ",").alias("notices"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = quality_verdicts(documents(spark, sf_dir))
     return v.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("distance", 6).alias("distance"))
@@ -72,6 +92,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sharding": op1_sharding,
+    "op2_licenses": op2_licenses,
     "op3_quality": op3_quality,
     "op4_imatch": op4_imatch,
     "op5_mixing": op5_mixing,
