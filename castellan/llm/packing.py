@@ -18,6 +18,7 @@ import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 from math import ceil
+from unicodedata import is_normalized
 
 import numpy as np
 import pandas as pd
@@ -29,61 +30,85 @@ from tokenizers import Tokenizer
 from castellan.workspace import keep
 
 #: Words whose ids a worker remembers in each of two generations; forgetting changes no result.
-REMEMBERED = 150_000
-#: Between words that are encoded together: a token of its own that no other text yields.
-BETWEEN = "|"
+REMEMBERED = 300_000
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a worker on each core already
 
 
-class WordTokenizer:
-    """Token ids of whole texts by a tokenizer that splits at blanks anyway: a batch's new words are encoded once, in one string."""
+def byte_letters() -> dict[int, str]:
+    """The letters by which byte-level tokenizers write bytes: printable Latin-1 as itself, the others from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+class WordIds(dict):
+    """Token ids of words, made when first asked for, as unsigned 16-bit little-endian bytes.
+
+    The tokenizer splits at blanks anyway. A word of letters alone is one piece for its model, which is then asked without the detour
+    of the whole tokenizer, if that gives the same on a few words; a stop or comma behind a letter is a piece of its own."""
 
     def __init__(self, path: str):
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        (self.between,) = self.tokenizer.encode(BETWEEN, add_special_tokens=False).ids
-        self.known: dict[bytes, bytes] = {}
+        self.model = self.tokenizer.model
+        self.letters = byte_letters()
         self.older: dict[bytes, bytes] = {}
-
-    def encode_batch(self, texts: list[str | None]) -> list[bytes]:
-        lists = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known, self.older = {}, self.known
-        known, older = self.known, self.older
-        new = set().union(*lists) - known.keys()
-        if again := new & older.keys():
-            known.update((w, older[w]) for w in again)
-            new -= again
-        apart = [w for w in new if b"|" in w]
-        together = list(new.difference(apart))
-        for at in range(0, len(together), 2000):
-            some = together[at : at + 2000]
-            ids = np.array(self.tokenizer.encode(f" {BETWEEN} ".join(w.decode("utf-8", "replace") for w in some), add_special_tokens=False).ids, "<u2")
-            ends = np.flatnonzero(ids == self.between).tolist()
-            data = ids.tobytes()
-            known.update((w, data[2 * a : 2 * b]) for w, a, b in zip(some, [0, *(e + 1 for e in ends)], [*ends, len(ids)]))
-        for w in apart:
-            known[w] = np.array(self.tokenizer.encode(w.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u2").tobytes()
-        return [b"".join([known[w] for w in words]) for words in lists]
+        samples = ("word", "stra\u00dfe", "\u00e9l\u00e8ve", "\u043c\u0438\u0440", "xqzzv")
+        self.pieces = all(self.of_letters(s.encode()) == self.in_full(s) for s in samples)
+        self.folds = all(self.in_full(s.upper()) == self.in_full(s) for s in ("word", "a.b,c", "it's"))
+        self.marks = {m: self.in_full(m.decode()) for m in (b".", b",")}
+        self.parts = all(self.in_full("word" + m.decode()) == self.in_full("word") + i for m, i in self.marks.items())
+
+    def in_full(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
+
+    def of_letters(self, word: bytes) -> bytes:
+        text = word.decode() if word.isascii() else word.decode("latin-1").translate(self.letters)
+        return np.array([t.id for t in self.model.tokenize(text)], "<u2").tobytes()
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.made(word)
+        if len(self) > REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+        self[word] = ids
+        return ids
+
+    def made(self, word: bytes) -> bytes:
+        if self.parts and word[-1:] in self.marks and word[-2:-1].isalpha():
+            return self[word[:-1]] + self.marks[word[-1:]]
+        if self.pieces and word.isalpha() and (not self.folds or word.islower()):
+            return self.of_letters(word)
+        text = word.decode("utf-8", "replace")
+        if self.pieces and text.isalpha() and text == text.lower() and is_normalized("NFC", text):
+            return self.of_letters(word)
+        return self.in_full(text)
+
+    def of_text(self, text: str | None) -> bytes:
+        data = (text or "").encode("utf-8", "surrogatepass")
+        return b"".join(map(self.__getitem__, (data.lower() if self.folds else data).split()))
 
 
 @lru_cache(maxsize=2)
-def word_tokenizer(path: str) -> WordTokenizer:
+def word_ids(path: str) -> WordIds:
     """One for each worker process, which serves many tasks."""
-    return WordTokenizer(path)
+    return WordIds(path)
 
 
 def tokenized(docs: DataFrame, *, tokenizer_path: str, end_id: int, id: str = "doc_id", text: str = "text") -> DataFrame:
     """id, ids (binary, unsigned 16-bit little-endian, end_id last), n."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = word_tokenizer(tokenizer_path)
+        own = word_ids(tokenizer_path)
         if own.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("the tokenizer's ids do not fit in 16 bits")
         end = np.array([end_id], "<u2").tobytes()
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 some = b.slice(at, 256)
-                ids = [x + end for x in own.encode_batch(some.column(1).to_pylist())]
+                ids = [own.of_text(t) + end for t in some.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([some.column(0), pa.array(ids, pa.binary()), pa.array([len(x) // 2 for x in ids], pa.int64())], ["id", "ids", "n"])
 
     kind = docs.schema[id].dataType.simpleString()
