@@ -12,10 +12,13 @@ from castellan.functions.text import token_jaccard
 from castellan.workspace import drop_kept, keep
 
 
-@F.pandas_udf("double")
-def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+def sequence_ratio(a: Column, b: Column) -> Column:
     """The matcher's ratio; it depends on the order of its arguments, so the earlier record goes first."""
-    return pd.Series([SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b)])
+
+    def run(left: pd.Series, right: pd.Series) -> pd.Series:
+        return pd.Series([SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(left, right)])
+
+    return F.pandas_udf(run, "double")(a, b)
 
 
 def similarity(a: Column, b: Column) -> Column:

@@ -34,7 +34,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-RATING = F.when(F.col("l_linenumber") != 7, F.col("l_quantity").cast("int"))
 RATING_SQL = "CASE WHEN l_linenumber <> 7 THEN CAST(l_quantity AS INT) END"
 
 
@@ -44,7 +43,7 @@ RATING_SQL = "CASE WHEN l_linenumber <> 7 THEN CAST(l_quantity AS INT) END"
       count(*) FILTER (r IS NULL) = 0 AND count(*) FILTER (r < 10) = 0 AS keep
     FROM (SELECT l_orderkey, {RATING_SQL} AS r FROM lineitem) GROUP BY l_orderkey""")
 def floor_admission(spark, sf_dir):
-    return admission.floor_profile(table(spark, sf_dir, "lineitem").select("l_orderkey", RATING.alias("r")), ["l_orderkey"], F.col("r"), 10)
+    return admission.floor_profile(table(spark, sf_dir, "lineitem").select("l_orderkey", F.expr(RATING_SQL).alias("r")), ["l_orderkey"], F.col("r"), 10)
 
 
 @query("floor_variants", """
