@@ -138,7 +138,7 @@ def notices_in(text: str, start: int, end: int, confirm: int, tolerance: float)
             todo += [words[last:], words[:first]]
 
 
-def scan_licenses(docs: DataFrame, *, id: str = "doc_id", text: str = "text", gap: int = 2, confirm: int = 6, tolerance: float = 0.2) -> DataFrame:
+def scan_licenses(docs: DataFrame, *, id: str = "doc_id", text: str = "text", gap: int = 2, confirm: int = 12, tolerance: float = 0.2) -> DataFrame:
     """id, n_blocks, and notices (license, start, end in code points, missing and extra words, plain_bytes, saved_bytes) by start."""
     fields = [("license", pa.string()), *((n, pa.int64()) for n in ("start", "end", "missing", "extra", "plain_bytes", "saved_bytes"))]
 

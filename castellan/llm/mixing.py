@@ -20,7 +20,7 @@ from math import ceil, log2
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from castellan.llm.common import BLANKS, words_of
+from castellan.llm.common import BLANKS, numbered, words_of
 from castellan.workspace import keep
 
 
@@ -152,8 +152,8 @@ def mixed_documents(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     mix = mix_sources(docs, id=id, text=text, source=source, seed=seed, **options)
     same = Window.partitionBy("h").orderBy("taken", "part")
     plan = mix.rows.filter("taken > 0").select("h", "size", "taken", "copies", "part").withColumn("nth", F.row_number().over(same))
-    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}  # whatever the columns are called
-    d = docs.withColumnsRenamed(names).withColumn("h", F.xxhash64(F.lit(seed), F.col(names[id]), F.col(names[text])))
+    d, names = numbered(docs)
+    d = d.withColumn("h", F.xxhash64(F.lit(seed), F.col(names[id]), F.col(names[text])))
     d = d.withColumn("nth", F.row_number().over(Window.partitionBy("h").orderBy(F.lit(1))))
     d = d.join(plan, ["h", "nth"])
     parts = F.concat(F.array_repeat(F.lit(None).cast("long"), F.col("copies").cast("int")), F.when(F.col("part") > 0, F.array("part")).otherwise(F.array().cast("array<bigint>")))

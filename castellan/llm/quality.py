@@ -23,7 +23,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from castellan.llm.common import let, words_of
+from castellan.llm.common import let, numbered, words_of
 from castellan.workspace import keep
 
 SYMBOLS = "#*$%&|<>"
@@ -197,6 +197,6 @@ def quality_verdicts(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
 def keep_quality(docs: DataFrame, *, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The documents that quality_verdicts keeps. The verdict hangs on the text and its group, so repeated rows stay or go together."""
     v = quality_verdicts(docs, id=id, text=text, **options).groupBy("key").agg(F.bool_or("kept").alias("kept")).filter("kept").select("key")
-    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
-    d = docs.withColumnsRenamed(names).withColumn("key", F.xxhash64(F.col(names[id]), F.col(names[text])))
+    d, names = numbered(docs)
+    d = d.withColumn("key", F.xxhash64(F.col(names[id]), F.col(names[text])))
     return d.join(v, "key", "left_semi").select(*[F.col(v).alias(k) for k, v in names.items()])

@@ -24,6 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from castellan.llm.common import numbered
 from castellan.llm.components import connected_components
 from castellan.workspace import keep
 
@@ -181,8 +182,7 @@ def simhash_components(docs: DataFrame, *, id: str = "doc_id", text: str = "text
 def one_of_each(docs: DataFrame, *, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The documents that stay when each component keeps one row: that of its smallest id (of rows that share it, one)."""
     c = simhash_components(docs, id=id, text=text, **options)
-    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    d, names = numbered(docs)
     first = c.select(F.col("component").alias("kept_id")).distinct()
-    d = docs.withColumnsRenamed(names)
     d = d.join(first, d[names[id]].eqNullSafe(first["kept_id"])).drop("kept_id")
     return d.dropDuplicates([names[id]]).select(*[F.col(v).alias(k) for k, v in names.items()])
