@@ -30,7 +30,7 @@ SYMBOLS = "#*$%&|<>"
 BLANK_CHARS = " \t\n\x0b\f\r"
 #: name, transform of the base statistics, floor of its standard deviation
 STATISTICS = (
-    ("words", "ln(n_words)", 0.25),
+    ("words", "ln(n_words)", 0.8),
     ("length", "ln(word_chars / n_words)", 0.08),
     ("symbols", "sqrt(n_symbols / word_chars)", 0.06),
     ("lines", "sqrt(n_dup_lines / n_lines)", 0.12),
