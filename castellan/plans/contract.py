@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from castellan.chess import hashing
 from castellan.chess.position import Position, perft
-from castellan.functions import dates, names, text, vocabulary
-from castellan.operators import admission, checks, clustering, merging, sessions
+from castellan.functions import dates, names, pages, text, vocabulary
+from castellan.operators import admission, checks, clustering, documents, merging, registries, sessions
 from castellan.plans import culling
 from castellan.sources.games import headers, replayed
 
@@ -506,3 +506,67 @@ def trajectory_fp(spark, sf_dir):
     game = F.concat(F.lit("1. "), F.element_at(F.array(*[F.lit(s) for s, _ in LINES]), (F.col("c_custkey") % 3 + 1).cast("int")))
     g = replayed(table(spark, sf_dir, "customer").select("c_custkey", game.alias("game")), hashing.derived_keys())
     return g.groupBy("trajectory_fp", "final_position_fp").agg(F.count("*").alias("games"), F.min("c_custkey").alias("first"))
+
+
+@query("link_classify", r"""SELECT page_id, href, CASE WHEN regexp_matches(lower(regexp_extract(href, '^[^?#]*')), '\.(css|js|png|jpe?g|gif|svg|ico|pdf|zip|mp3)$') THEN 'asset' WHEN regexp_matches(lower(href), '[?&](zeilen|prt|excel)=') THEN 'export'
+    WHEN regexp_matches(lower(regexp_extract(href, '^[^?#]*')), 'cross|tabel') THEN 'crosstable' WHEN regexp_matches(lower(regexp_extract(href, '^[^?#]*')), '(^|[^0-9])(18|19|20)[0-9][0-9]([^0-9]|$)') THEN 'event'
+    WHEN lower(regexp_extract(href, '^[^?#]*')) LIKE '%/' THEN 'section' ELSE 'page' END AS kind FROM (SELECT page_id, unnest(regexp_extract_all(html, '<a\s[^>]*?href="([^"]*)"', 1)) AS href FROM pages)""")
+def link_classify(spark, sf_dir):
+    return link_extract(spark, sf_dir).select("page_id", "href", pages.link_kind(F.col("href")).alias("kind"))
+
+
+@query("crosstable_like", """SELECT page_id, html LIKE '%crosstable%' OR lower(html) LIKE '%cross table%' OR lower(html) LIKE '%crosstable%' OR lower(html) LIKE '%kreuztabelle%' OR lower(html) LIKE '%tabela%'
+    OR (lower(html) LIKE '%rank%' AND lower(html) LIKE '%name%' AND lower(html) LIKE '%pts%' AND lower(html) LIKE '%rtg%') AS crosstable FROM pages""")
+def crosstable_like(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", pages.looks_like_crosstable(F.col("html")).alias("crosstable"))
+
+
+@query("html_table_mean", "SELECT s_suppkey, CAST(floor((1000 + s_nationkey + 2000) / 2) AS BIGINT) AS mean FROM supplier")
+def html_table_mean(spark, sf_dir):
+    html = F.concat(F.lit('<p><table class="CRs1"><tr><th>No.</th><th>Rtg</th></tr><tr><td>1</td><td><b>'), (F.col("s_nationkey") + 1000).cast("string"), F.lit("</b></td></tr><tr><td>2</td><td>2000</td></tr><tr><td>3</td><td>0</td></tr></table>"))
+    return table(spark, sf_dir, "supplier").select("s_suppkey", pages.rating_mean(html).cast("bigint").alias("mean"))
+
+
+@query("player_merge", """WITH r AS (SELECT l_suppkey AS id, min(l_orderkey * 100 + l_linenumber) AS line FROM lineitem GROUP BY 1), x AS (SELECT l_suppkey, l_orderkey * 100 + l_linenumber AS line, max(l_returnflag) AS name, max(l_partkey) AS months, bool_or(l_discount > 0.09) AS female,
+      max(CASE WHEN l_tax > 0.04 THEN CAST(l_quantity AS INT) END) AS year FROM lineitem GROUP BY 1, 2)
+    SELECT l_suppkey AS id, min(line) AS line, arg_min(name, line) AS name, bool_or(female) AS female, arg_min(year, line) FILTER (year IS NOT NULL) AS birth_year, max(months) AS rated_months FROM x GROUP BY 1""")
+def player_merge(spark, sf_dir):
+    r = table(spark, sf_dir, "lineitem").groupBy("l_suppkey", (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("line")).agg(
+        F.max("l_returnflag").alias("name"), F.max("l_partkey").alias("rated_months"), F.bool_or(F.col("l_discount") > 0.09).alias("female"), F.max(F.when(F.col("l_tax") > 0.04, F.col("l_quantity").cast("int"))).alias("birth_year"))
+    r = r.select(F.col("l_suppkey").cast("string").alias("fide_id"), "line", "name", F.array("name").alias("titles"), "female", "birth_year", F.lit("USA").alias("federation"), "rated_months", F.array("name").alias("aliases"))
+    return registries.merge_players(r).select(F.col("fide_id").cast("bigint").alias("id"), "line", "name", "female", "birth_year", "rated_months")
+
+
+@query("place_merge", """SELECT p_brand AS ref, min(p_size) AS priority, arg_min(p_name, (p_size, lower(p_name), p_name)) AS name, arg_min(p_type, (p_size, lower(p_name), p_name)) FILTER (p_size % 2 = 0) AS country, bool_or(p_partkey % 50 = 0) AS legacy, count(*) AS n
+    FROM (SELECT p_brand, p_size, p_name, min(p_type) AS p_type, min(p_partkey) AS p_partkey FROM part GROUP BY 1, 2, 3) GROUP BY 1""")
+def place_merge(spark, sf_dir):
+    p = table(spark, sf_dir, "part").groupBy("p_brand", "p_size", "p_name").agg(F.min("p_type").alias("t"), F.min("p_partkey").alias("k"))
+    places = p.select(F.col("p_brand").alias("ref"), F.col("p_size").alias("priority"), F.col("p_name").alias("name"), F.when(F.col("p_size") % 2 == 0, F.col("t")).otherwise("").alias("country"), F.lit("city").alias("kind"), F.array("name").alias("aliases"), (F.col("k") % 50 == 0).alias("legacy"))
+    n = places.groupBy("ref").agg(F.count("*").alias("n"))
+    return registries.merge_places(places).join(n, "ref").select("ref", "priority", "name", "country", "legacy", "n")
+
+
+@query("event_occurrences", """SELECT 'event:' || strftime(o_orderdate, '%Y%m%d') || '-' || strftime(o_orderdate, '%Y%m%d') || '-' || lower(o_orderpriority) AS ref, min(o_orderkey) AS first, count(*) AS n FROM (SELECT o_orderkey, o_orderdate, regexp_replace(regexp_replace(o_orderpriority, '[^A-Za-z0-9 -]', '', 'g'), '[ -]+', '-', 'g') AS o_orderpriority FROM orders) GROUP BY 1""")
+def event_occurrences(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    day = F.struct(F.year("o_orderdate").alias("y"), F.month("o_orderdate").alias("m"), F.dayofmonth("o_orderdate").alias("d"))
+    r = o.select(F.col("o_orderpriority").alias("name"), day.alias("start"), F.lit(None).cast("struct<y:int,m:int,d:int>").alias("end"), F.lit("swiss").alias("format"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0").alias("source"), F.col("o_orderkey").alias("ord"))
+    return registries.occurrences(r).select("ref", F.element_at("sources", 1).cast("bigint").alias("first"), F.size("sources").cast("bigint").alias("n"))
+
+
+@query("canonical_entries")
+def canonical_entries(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    n = p.select(F.concat_ws(" ", "p_name", "p_brand").alias("canonical"), F.concat_ws(" ", "p_type", F.col("p_size").cast("string"), "p_brand").alias("alias"), F.col("p_size").alias("priority"))
+    return registries.canonical_entries(n)[0].select("canonical", F.array_join("aliases", "|").alias("aliases"))
+
+
+@query("tournament_documents", "SELECT count(*) AS documents, count(DISTINCT l_orderkey) AS files FROM (SELECT l_orderkey FROM lineitem GROUP BY 1)")
+def tournament_documents(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    player = F.struct(F.col("l_linenumber").cast("bigint").alias("rank"), F.concat(F.lit("Player, "), F.col("l_partkey").cast("string")).alias("name"), F.lit("g").alias("title"), F.lit("usa").alias("fed"), F.col("l_quantity").cast("bigint").alias("rating"), F.col("l_quantity").alias("score"), F.lit(None).cast("string").alias("fide_id"), F.lit("").alias("sex"), F.lit("").alias("club"), F.lit("").alias("ref"))
+    blank = {c: F.lit(None).cast("string").alias(c) for c in ("header", "end", "place", "cadence", "notes", "rating_system", "url", "source_path")}
+    t = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(player)).alias("players"), F.min("l_shipdate").cast("date").cast("string").alias("start"))
+    t = t.select(F.col("l_orderkey").alias("ord"), F.concat(F.lit("Open "), F.col("l_orderkey").cast("string")).alias("event"), F.lit("swiss").alias("format"), F.lit("src").alias("source"), F.col("l_orderkey").cast("string").alias("ref"), "start", "players", *blank.values())
+    d = documents.tournament_documents(t)
+    return d.filter(F.col("xml").contains("</ctml:tournament>")).agg(F.count("*").alias("documents"), F.count_distinct("file_name").alias("files"))
