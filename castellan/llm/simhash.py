@@ -246,6 +246,10 @@ def mixed(h: np.ndarray, nth: int) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+#: Each minimum is over one linear order of the hashes modulo 2 ** 64.
+FACTORS, SHIFTS = np.split(mixed(np.arange(2 * SKETCH_KEYS * KEY_MINIMA, dtype=np.uint64), 0) | np.uint64(1), 2)
+
+
 def sketch(hashes: np.ndarray) -> tuple[np.ndarray, list[int]]:
     """The fingerprint of a set of shingles, in words, and the keys of the shards it goes to (an empty set to none)."""
     if not len(hashes):
@@ -256,8 +260,7 @@ def sketch(hashes: np.ndarray) -> tuple[np.ndarray, list[int]]:
         some = hashes[at : at + (1 << 13)]
         words = np.stack([mixed(some, i) for i in range(SKETCH_WORDS)], axis=1)
         set_bits += np.unpackbits(words.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-        for i in range(len(least)):
-            least[i] = min(least[i], mixed(some, SKETCH_WORDS + i).min())
+        least = np.minimum(least, (some[:, None] * FACTORS + SHIFTS).min(axis=0))
     fp = np.packbits((set_bits * 2 > len(hashes)).astype(np.uint8), bitorder="little").view("<u8")
     return fp, [xxhash.xxh64_intdigest(m.tobytes(), i) for i, m in enumerate(least.reshape(SKETCH_KEYS, KEY_MINIMA))]
 
