@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from castellan.llm.common import numbered
 from castellan.llm.components import connected_components
-from castellan.workspace import drop_kept, keep
+from castellan.workspace import keep
 
 UPPER, LOWER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
 TO_LOWER = bytes.maketrans(UPPER, LOWER)
@@ -135,6 +135,7 @@ class Shard:
 
     def forest(self, radius: int, may=None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Links, at most one fewer than the fingerprints, that join just what pairs within the radius (for which may(a, b) holds) join."""
+        since = 0
         for a, b in self.pairs(radius):
             if may is not None:
                 ok = may(a, b)
@@ -146,26 +147,26 @@ class Shard:
                     links.append((i, j))
             if links:
                 yield tuple(np.array(links).T)
-            if len(a) > len(self.root):
+            if (since := since + len(links)) > len(self.root) // 8:
                 self._relabel()
-        self._relabel()
+                since = 0
 
     def _relabel(self) -> None:
         self.label = np.fromiter(map(self._find, range(len(self.root))), np.int64, len(self.root))
 
 
-def links_in_shards(keyed: DataFrame, shard_rows: int, link: Callable[[list[np.ndarray], np.ndarray], Iterator[tuple[np.ndarray, np.ndarray]]]) -> DataFrame:
+def links_in_shards(
+    keyed: DataFrame, link: Callable[[list[np.ndarray], np.ndarray], Iterator[tuple[np.ndarray, np.ndarray]]], more: DataFrame | None = None
+) -> DataFrame:
     """a, b: the links that link(columns, parts) finds in each shard, in values of the column node.
 
-    keyed: key (the shard), node, and further columns of longs; link gets all but key. A shard of over shard_rows rows is cut in parts."""
-    columns = [c for c in keyed.columns if c != "key"]
-    large = keep(keyed.groupBy("key").agg(F.count("*").alias("rows")).filter(F.col("rows") > shard_rows), "large")
-    keyed = keyed.join(large, "key", "left")
+    keyed: key (the shard), parts (how many parts the shard is cut in) and node, a long. more: further columns by node. link gets node and these."""
+    part = F.expr("pmod(xxhash64(node, 1), parts)")
     # cells (i, j) of a large shard: part i is its tree and part j searches it; a small shard is its only cell
-    part = "if(rows is null, 0L, pmod(xxhash64(node, 1), ceil(rows / {0})))".format(shard_rows)
-    keyed = keyed.withColumn("part", F.expr(part)).withColumn("other", F.explode(F.expr(f"if(rows is null, array(0L), sequence(0L, cast(ceil(rows / {shard_rows}) as bigint) - 1))")))
-    cells = keyed.select(
-        F.xxhash64("key", F.least("part", "other"), F.greatest("part", "other")).alias("cell"), F.when(F.col("part") > F.col("other"), 1).otherwise(0).cast("int").alias("searches"), *columns)
+    cells = keyed.withColumn("part", part).withColumn("other", F.explode(F.expr("sequence(0L, parts - 1)")))
+    cells = cells.select(F.xxhash64("key", F.least("part", "other"), F.greatest("part", "other")).alias("cell"), F.when(F.col("part") > F.col("other"), 1).otherwise(0).cast("int").alias("searches"), "node")
+    if more is not None:
+        cells = cells.join(more, "node").select("cell", "searches", *more.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Batches come sorted by cell; only the last, still open cell is carried over."""
@@ -204,7 +205,9 @@ def links_of(nodes: DataFrame, radius: int, blocks: int, shard_rows: int) -> Dat
 
     choices = [f"xxhash64({n}, {', '.join(map(bits, some))})" for n, some in enumerate(combinations(range(blocks), blocks - radius))]
     keyed = nodes.select(F.col("fp").alias("node"), F.explode(F.expr(f"array({', '.join(choices)})")).alias("key"))
-    return links_in_shards(keyed, shard_rows, link)
+    large = keep(keyed.groupBy("key").agg(F.count("*").alias("rows")).filter(F.col("rows") > shard_rows), "large")
+    parts = F.expr(f"if(rows is null, 1L, cast(ceil(rows / {shard_rows}) as bigint))")
+    return links_in_shards(keyed.join(large, "key", "left").select("key", parts.alias("parts"), "node"), link)
 
 
 def simhash_components(docs: DataFrame, *, id: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = 2, blocks: int = 4, shard_rows: int = 20_000, seed: int = 42) -> DataFrame:
@@ -265,62 +268,79 @@ def sketch(hashes: np.ndarray) -> tuple[np.ndarray, list[int]]:
     return fp, [xxhash.xxh64_intdigest(m.tobytes(), i) for i, m in enumerate(least.reshape(SKETCH_KEYS, KEY_MINIMA))]
 
 
-def radii(similarity: float) -> tuple[int, int]:
-    """Distances between sketches within which sets are surely, and beyond which they are surely not, of the similarity: a bit differs with
-    chance angle / pi at the cosine 2s / (1 + s); three and six standard deviations to the two sides."""
+def widest(similarity: float) -> int:
+    """The distance between sketches beyond which sets are surely not of the similarity: a bit differs with chance angle / pi at the cosine
+    2s / (1 + s); six standard deviations above."""
     bits, chance = 64 * SKETCH_WORDS, math.acos(2 * similarity / (1 + similarity)) / math.pi
-    spread = math.sqrt(bits * chance * (1 - chance))
-    return max(0, int(bits * chance - 3 * spread)), int(bits * chance + 6 * spread)
-
-
-def near_pairs(nodes: DataFrame, similarity: float, shard_rows: int) -> DataFrame:
-    """a, b (a < b, distinct): the pairs whose texts decide which nodes (node, n, f0..., keys) are joined."""
-    sure, wide = radii(similarity)
-    fs = [f"f{i}" for i in range(SKETCH_WORDS)]
+    return int(bits * chance + 6 * math.sqrt(bits * chance * (1 - chance)))
+
+
+class Sets:
+    """Sets of hashes (sorted distinct 64-bit values as bytes), compared in batches."""
+
+    def __init__(self, sets: np.ndarray):
+        self.sizes = np.fromiter(map(len, sets), np.int64, len(sets)) // 8
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        distinct, self.ids = np.unique(np.frombuffer(b"".join(sets), np.uint64), return_inverse=True)
+        self.marked = np.zeros(len(distinct), bool)
+
+    def _shared(self, one: int, others: np.ndarray) -> np.ndarray:
+        """How many hashes of one set each of the others has."""
+        self.marked[self.ids[self.starts[one] : self.starts[one] + self.sizes[one]]] = True
+        out = np.zeros(len(others), np.int64)
+        ends = np.cumsum(self.sizes[others])
+        cuts = np.unique(np.searchsorted(ends, np.arange(0, ends[-1], 1 << 20)))  # bounds what is compared at once
+        for x, y in zip(cuts.tolist(), [*cuts[1:].tolist(), len(others)]):
+            sizes = self.sizes[others[x:y]]
+            first = np.cumsum(sizes) - sizes
+            at = np.arange(sizes.sum()) + np.repeat(self.starts[others[x:y]] - first, sizes)
+            out[x:y] = np.add.reduceat(self.marked[self.ids[at]], first, dtype=np.int64)
+        self.marked[self.ids[self.starts[one] : self.starts[one] + self.sizes[one]]] = False
+        return out
+
+    def alike(self, a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
+        """Whether the (Jaccard) similarity of each pair of sets, none empty, is reached."""
+        ok = np.minimum(self.sizes[a], self.sizes[b]) >= similarity * np.maximum(self.sizes[a], self.sizes[b]) - 1e-6
+        at = np.flatnonzero(ok)
+        a, b = a[at], b[at]
+        if len(np.unique(a)) > len(np.unique(b)):
+            a, b = b, a
+        order = np.argsort(a, kind="stable")
+        for some in np.split(order, np.flatnonzero(np.diff(a[order])) + 1):
+            if len(some):
+                both = self._shared(int(a[some[0]]), b[some])
+                ok[at[some]] = both / (self.sizes[a[some]] + self.sizes[b[some]] - both) >= similarity
+        return ok
+
+
+def placed_in_shards(nodes: DataFrame, shard_hashes: int) -> DataFrame:
+    """key, parts, node for the nodes (node, n, keys) of each shard that holds several; of shards that hold the same nodes, one."""
+    keyed = nodes.select("node", "n", F.explode("keys").alias("key"))
+    shards = keyed.groupBy("key").agg(F.count("*").alias("rows"), F.sum("n").alias("hashes"), F.min("node").alias("least"), *(F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"x{i}") for i in (1, 2)))
+    shards = shards.filter("rows > 1").groupBy("rows", "hashes", "least", "x1", "x2").agg(F.min("key").alias("key"))
+    shards = keep(shards.select("key", F.expr(f"cast(ceil(hashes / {shard_hashes}) as bigint)").alias("parts")), "shards")
+    return keep(keyed.join(shards, "key").select("key", "parts", "node"), "placed")
+
+
+def near_links(placed: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """a, b: links that join just the nodes that pairs of the similarity within a shard join. sets: node, f0..., hashes."""
+    radius = widest(similarity)
 
     def link(columns: list[np.ndarray], parts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        n = columns[1]
-        shard = Shard(np.stack(columns[2:], axis=1).view(np.uint64), parts)
-
-        def may(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-            return np.minimum(n[a], n[b]) >= similarity * np.maximum(n[a], n[b]) - 1e-6
+        fps, sets = np.stack([c.astype(np.int64) for c in columns[1 : 1 + SKETCH_WORDS]], axis=1).view(np.uint64), Sets(columns[-1])
+        return Shard(fps, parts).forest(radius, lambda a, b: sets.alike(a, b, similarity))
 
-        yield from shard.forest(sure, may)
-        for a, b in shard.pairs(wide):
-            ok = may(a, b)
-            yield a[ok], b[ok]
+    return links_in_shards(placed, link, sets)
 
-    found = links_in_shards(nodes.select("node", "n", *fs, F.explode("keys").alias("key")), shard_rows, link)
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
 
-
-def verified(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """a, b: the pairs of whole texts (node, text) whose sets of shingles have at least the (Jaccard) similarity."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, of_last = None, None
-        for batch in batches:
-            ok = np.zeros(batch.num_rows, bool)
-            for i in range(batch.num_rows):
-                b = batch.column(1)[i].as_py()
-                if b != last:
-                    last, of_last = b, shingle_hashes(batch.column(3)[i].as_py(), shingle)
-                of_a = shingle_hashes(batch.column(2)[i].as_py(), shingle)
-                both = len(np.intersect1d(of_a, of_last, assume_unique=True))
-                ok[i] = both / (len(of_a) + len(of_last) - both) >= similarity
-            yield batch.select(["a", "b"]).filter(pa.array(ok))
-
-    met = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    return met.select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint")
-
-
-def near_groups(docs: DataFrame, *, id: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8, shard_rows: int = 20_000) -> DataFrame:
+def near_groups(docs: DataFrame, *, id: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8, shard_hashes: int = 1_000_000) -> DataFrame:
     """digest (of a set of shingles), least (struct: the least row that has it) and component (struct: the least row reachable).
 
     A row is (no_id, id, doc), doc being a hash of its id and text; rows without an id come last. Texts are linked if their sets of word
     shingles have the similarity; copies, that is equal sets, are one node. Near copies meet in a shard with a chance of 99.9 % at a similarity
-    of 0.8 and more above it (ten keys, each from three minima of the shingles' hashes); within a shard BK-trees over 256-bit SimHash
-    fingerprints find candidates, and whole texts decide. What surely similar pairs join is not paired again."""
+    of 0.8 and more above it (ten keys, each from three minima of the shingles' hashes); within a shard a BK-tree over 256-bit SimHash
+    fingerprints finds candidates, and the whole sets, which lie in the same task, decide each at once. So a shard emits a forest of decided
+    links and no pairs. A shard of over ``shard_hashes`` hashes is cut in parts; only nodes that share a shard with another have their sets sent."""
     fs = [f"f{i}" for i in range(SKETCH_WORDS)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -343,13 +363,17 @@ def near_groups(docs: DataFrame, *, id: str = "doc_id", text: str = "text", shin
     sketches = rows.mapInArrow(run, f"row struct<no_id:boolean,id:{kind},doc:bigint>, digest binary, n bigint, keys array<bigint>, {', '.join(f'{f} bigint' for f in fs)}")
     nodes = sketches.groupBy("digest").agg(F.min("row").alias("least"), *(F.first(c).alias(c) for c in ("n", "keys", *fs)))
     nodes = keep(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    pairs = keep(near_pairs(nodes, similarity, shard_rows), "pairs")
-    paired = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    paired = keep(nodes.select("node", "least").join(paired, "node").select("node", "least.doc"), "paired")
-    texts = rows.select("row.doc", "text").join(paired, "doc").groupBy("node").agg(F.first("text").alias("text"))
-    texts = keep(texts, "texts")
-    member = connected_components(verified(pairs, texts, shingle, similarity))
-    drop_kept(texts)
+    placed = placed_in_shards(nodes, shard_hashes)
+    met = keep(nodes.join(placed.select("node").distinct(), "node").select("node", "least.doc", *fs), "met")
+    met = rows.select("row.doc", "text").join(met, "doc").groupBy("node").agg(F.first("text").alias("text"), *(F.first(f).alias(f) for f in fs))
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = pa.array((shingle_hashes(t.as_py(), shingle).tobytes() for t in b.column(1)), pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column(0), *b.columns[2:], sets], ["node", *fs, "hashes"])
+
+    sets = met.mapInArrow(hashed, f"node bigint, {', '.join(f'{f} bigint' for f in fs)}, hashes binary")
+    member = connected_components(near_links(placed, sets, similarity))
     named = nodes.join(member, "node", "left").select("digest", "least", F.coalesce("root", "node").alias("root"))
     return named.join(named.groupBy("root").agg(F.min("least").alias("component")), "root").select("digest", "least", "component")
 

@@ -3,6 +3,7 @@
 import hashlib
 import zlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -269,3 +270,37 @@ def test_pipeline_passes_hard_cases_on(spark, nasty, empty, tmp_path):
             assert name.startswith("mixing") or d.count() <= before.count()
         last = corpus_pipeline.STAGES[-1][1](spark, d, str(tmp_path))
         assert last.agg(F.sum("length")).first()[0] is None or last.count() > 0
+
+
+def test_sets_match_brute_force():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 40, rng.integers(1, 30)).astype(np.uint64)) for _ in range(50)]
+    a, b = (x.ravel() for x in np.meshgrid(np.arange(50), np.arange(50)))
+    own = [{*s.tolist()} for s in sets]
+    for similarity in (0.0, 0.3, 0.8, 1.0):
+        got = simhash.Sets(np.array([s.tobytes() for s in sets], object)).alike(a, b, similarity)
+        assert got.tolist() == [len(own[x] & own[y]) / len(own[x] | own[y]) >= similarity for x, y in zip(a, b)]
+
+
+def test_near_groups_of_one_large_group(spark):
+    """Copies of one text that differ from it in some places and more from each other, in shards cut in parts or not."""
+    import random
+
+    rng = random.Random(11)
+    base = [f"word{i}" for i in range(150)]
+    docs = {}
+    for i in range(120):
+        w = list(base)
+        for _ in range(rng.randint(0, 5)):
+            w[rng.randrange(150)] = f"other{rng.randrange(10**6)}"
+        docs[i] = " ".join(w)
+    of = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, w in ((i, t.split()) for i, t in docs.items())}
+    least = {i: i for i in docs}
+    for _ in range(len(docs)):
+        new = {i: min(least[j] for j in docs if len(of[i] & of[j]) / len(of[i] | of[j]) >= 0.8) for i in docs}
+        if new == least:
+            break
+        least = new
+    d = spark.createDataFrame(list(docs.items()), "doc_id bigint, text string")
+    for shard_hashes in (1_000_000, 2_000):
+        assert {r.doc_id for r in simhash.one_of_each(d, shard_hashes=shard_hashes).collect()} == set(least.values())
