@@ -12,6 +12,7 @@ from castellan.llm.chat import format_windows, read_back
 from castellan.llm.imatch import imatch_with_edits
 from castellan.llm.licenses import scan_licenses
 from castellan.llm.mixing import mix_sources
+from castellan.llm.oracles import ORACLES as ORACLES
 from castellan.llm.packing import pack
 from castellan.llm.quality import quality_verdicts
 from castellan.llm.secrets import BASE, scan_secrets
@@ -103,4 +104,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secrets": op9_secrets,
     "op10_simhash": op10_simhash,
 }
-ORACLES: dict[str, str] = {}

@@ -249,3 +249,24 @@ def test_pipeline(spark):
     packed = stages["packing"](spark, mixed, SF).collect()
     own = word_ids(public_tokenizers.path("word_bpe_49k.json"))
     assert sum(r.length for r in packed) == sum(len(own.of_text(r.text)) // 2 + 1 for r in mixed.collect())
+
+
+def test_op6_windows_by_sql(spark, tmp_path):
+    """Conversations of many windows: the table's own mostly fit one."""
+    import random
+
+    from castellan.llm.oracles import CHAT
+
+    rng = random.Random(8)
+    turns = []
+    for c in range(60):
+        for i in range(rng.randint(1, 60)):
+            role = "system" if i == 0 and c % 2 else ("user", "assistant")[i % 2]
+            turns.append((c, i, role, rng.choice(["é", "<s> ", "ab ", "<\\|im_end|>"]) * rng.choice([0, 3, 60, 700, 3000])))
+    spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    db = duckdb.connect()
+    db.execute(f"create view conversations as select * from '{tmp_path}/conversations.parquet/*.parquet'")
+    sql = db.sql(CHAT)
+    got = QUERIES["op6_chat"](spark, str(tmp_path))
+    want = sql.fetchall()
+    assert {tuple(r[c] for c in sql.columns) for r in got.collect()} == set(want) and max(r[-1] for r in want) > 5
