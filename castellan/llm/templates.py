@@ -6,7 +6,8 @@ their words with, position by position; where they differ the template becomes v
 documents or more is dropped everywhere but at its first occurrence, by document id and line; lines of fewer than ``least_words`` words stay.
 
 Only leaves with different lines from different documents go through the matching, and only their distinct lines; a line that recurs word by
-word is its own template by its hash. A leaf of over ``leaf_rows`` distinct lines is split by the next leading words until none is larger.
+word is its own template by its hash. A leaf is matched whole at any size. Once it has over ``leaf_rows`` templates they are found by an index:
+a line that misses a template at m words at most equals it in one of m + 1 ranges of positions, so the index finds what a look at all would.
 
 Cases: a null or empty text has no lines to drop and stays as it is; a line that recurs within one document only stays; repeated rows are one
 document; null ids are one document, the first; an empty table gives no rows; further columns stay and may have any names.
@@ -38,35 +39,60 @@ def masked_lines(docs: DataFrame, id: str, text: str, depth: int, least_words: i
 
 
 class Leaf:
-    """The templates of one leaf: positions that vary are None."""
+    """The templates of one leaf: positions that vary are None. Over leaf_rows of them are found by the words of a range of positions."""
 
-    def __init__(self, similarity: float):
-        self.similarity = similarity
+    def __init__(self, similarity: float, depth: int, leaf_rows: int):
+        self.similarity, self.depth, self.leaf_rows = similarity, depth, leaf_rows
         self.templates: list[list[str | None]] = []
+        self.ranges: list[slice] | None = None
+        self.holders: dict[tuple, set[int]] = {}
+
+    def keys(self, words: list[str | None]) -> list[tuple]:
+        """A key for each range; none where the template varies, which no line equals."""
+        return [(i, *words[r]) for i, r in enumerate(self.ranges or []) if None not in words[r]]
+
+    def build(self, n: int) -> None:
+        """Ranges of the positions behind the leading words, which all lines of a leaf share. Without positions for all, one empty range holds every template."""
+        most = max(m for m in range(n + 1) if m == 0 or (n - m) / n >= self.similarity)
+        first = min(self.depth, n)
+        cuts = [first + (n - first) * i // (most + 1) for i in range(most + 2)]
+        self.ranges = [slice(a, b) for a, b in zip(cuts, cuts[1:])] if n - first > most else [slice(0, 0)]
+        for i, t in enumerate(self.templates):
+            for k in self.keys(t):
+                self.holders.setdefault(k, set()).add(i)
 
     def place(self, words: list[str]) -> int:
+        if self.ranges is None and len(self.templates) > self.leaf_rows:
+            self.build(len(words))
+        own = self.keys(words)
+        near = range(len(self.templates)) if self.ranges is None else sorted(set().union(*(self.holders.get(k, ()) for k in own)))
         best, share = -1, -1.0
-        for i, t in enumerate(self.templates):
-            same = sum(a == b for a, b in zip(t, words)) / len(words)
+        for i in near:
+            same = sum(a == b for a, b in zip(self.templates[i], words)) / len(words)
             if same > share:
                 best, share = i, same
         if share < self.similarity:
             self.templates.append(list(words))
+            for k in own:
+                self.holders.setdefault(k, set()).add(len(self.templates) - 1)
             return len(self.templates) - 1
+        before = self.keys(self.templates[best])
         self.templates[best] = [a if a == b else None for a, b in zip(self.templates[best], words)]
+        for k in set(before) - set(self.keys(self.templates[best])):
+            self.holders[k].discard(best)
         return best
 
 
-def matched(lines: DataFrame, similarity: float) -> DataFrame:
+def matched(lines: DataFrame, similarity: float, depth: int, leaf_rows: int) -> DataFrame:
     """m, template for distinct lines (leaf, m, line): leaves come whole and sorted, one after another."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, leaf = None, Leaf(similarity)
+        current, leaf = None, Leaf(similarity, depth, leaf_rows)
         for b in batches:
             out = np.empty(b.num_rows, np.int64)
             for i, (at, line) in enumerate(zip(b.column(0).to_pylist(), b.column(2).to_pylist())):
                 if at != current:
-                    current, leaf = at, Leaf(similarity)
+                    current, leaf = at, Leaf(similarity, depth, leaf_rows)
                 out[i] = leaf.place(line.split(" "))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out)], ["leaf", "m", "nth"])
 
@@ -74,18 +100,6 @@ def matched(lines: DataFrame, similarity: float) -> DataFrame:
     return placed.select("m", F.xxhash64("leaf", "nth").alias("template"))
 
 
-def split_large(lines: DataFrame, depth: int, leaf_rows: int) -> DataFrame:
-    """Distinct lines with leaves of over leaf_rows lines split by their next depth words, again and again."""
-    level = 1
-    while True:
-        large = keep(lines.groupBy("leaf").agg(F.count("*").alias("rows")).filter(F.col("rows") > leaf_rows), "large")
-        if large.isEmpty():
-            return lines
-        level += 1
-        deeper = F.xxhash64("leaf", F.substring_index("line", " ", depth * level))
-        lines = keep(lines.join(large, "leaf", "left").withColumn("leaf", F.when(F.isnull("rows"), F.col("leaf")).otherwise(deeper)).drop("rows"), "lines")
-
-
 def recurring_lines(docs: DataFrame, *, id: str = "doc_id", text: str = "text", depth: int = 3, similarity: float = 0.7, least_docs: int = 2, least_words: int = 6, leaf_rows: int = 5_000) -> DataFrame:
     """doc (hash of id and text) and drop, the positions of its lines to drop: documents with such lines only."""
     lines = masked_lines(docs, id, text, depth, least_words)
@@ -98,7 +112,7 @@ def recurring_lines(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     leaves = keep(leaves.select("leaf", (F.col("m0") != F.col("m1")).alias("mixed")), "leaves")
     mixed = leaves.filter("mixed").select("leaf")
     distinct = keep(lines.select("leaf", "m", "line").join(mixed, "leaf", "left_semi").groupBy("leaf", "m").agg(F.min("line").alias("line")), "distinct")
-    templates = keep(matched(split_large(distinct, depth, leaf_rows), similarity), "templates")
+    templates = keep(matched(distinct, similarity, depth, leaf_rows), "templates")
 
     seen = found.join(leaves, "leaf").join(templates, "m", "left").select("id", "doc", "pos", F.coalesce("template", "m").alias("template"))
     seen = keep(seen, "seen")

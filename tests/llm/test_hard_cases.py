@@ -201,6 +201,25 @@ def test_line_dedup(spark, nasty, empty):
     assert deep == got
 
 
+def test_line_dedup_at_any_leaf_size(spark):
+    """Lines of one leaf that differ from the fourth word on are one template however large the leaf is."""
+    rows = [(i, f"dear customer of {name} your parcel has left our store today") for i, name in enumerate(("anna", "boris", "clara", "dieter"))]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for leaf_rows in (5_000, 1, 0):
+        assert [r.n_dropped for r in templates.line_report(d, leaf_rows=leaf_rows).orderBy("id").collect()] == [0, 1, 1, 1]
+
+
+def test_indexed_leaf_matches_full_scan():
+    import random
+
+    rng = random.Random(7)
+    for similarity in (0.0, 0.3, 0.7, 0.95, 1.0):
+        for n in (1, 3, 4, 6, 7, 10, 15):
+            lines = sorted({tuple("abc"[:n]) + tuple(rng.choice("xyzw") for _ in range(n - 3)) for _ in range(150)})
+            scan, index = templates.Leaf(similarity, 3, 10**9), templates.Leaf(similarity, 3, 0)
+            assert [scan.place(list(x)) for x in lines] == [index.place(list(x)) for x in lines] and scan.templates == index.templates
+
+
 def test_secrets(spark, nasty, empty):
     assert secrets.scan_secrets(empty).count() == 0 and secrets.scan_secrets(nasty).filter("size(spans) > 0").count() == 0
 
