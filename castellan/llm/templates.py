@@ -3,7 +3,8 @@
 A line is its words. Words with a digit or an at sign, addresses and the like are variable fields and read ``<*>``. A leaf of the tree is a
 number of words with the ``depth`` leading ones. Within a leaf, lines join the template that they share at least ``similarity`` of
 their words with, position by position; where they differ the template becomes variable. A template that occurs in ``least_docs``
-documents or more is dropped everywhere but at its first occurrence, by document id and line; lines of fewer than ``least_words`` words stay.
+documents or more is dropped everywhere but at its first occurrence, by document id and line. Lines of fewer than ``least_words`` words, where one
+word is a large share, are compared by equality of their own words, nothing masked, and recur from ``least_short_docs`` documents on: chance repeats few of them.
 
 Only leaves with different lines from different documents go through the matching, and only their distinct lines; a line that recurs word by
 word is its own template by its hash. A leaf is matched whole at any size. Once it has over ``leaf_rows`` templates they are found by an index:
@@ -29,13 +30,13 @@ VARIABLE = r"(?<!\S)(?:[^\s0-9@]*[0-9@]\S*|https?://\S+)"
 FIELD = "<*>"
 
 
-def masked_lines(docs: DataFrame, id: str, text: str, depth: int, least_words: int) -> DataFrame:
-    """doc, id, pos, line (words joined by a blank, variable fields masked), n: the lines of least_words words or more."""
+def masked_lines(docs: DataFrame, id: str, text: str, least_words: int) -> DataFrame:
+    """doc, id, pos, line (words joined by a blank, variable fields masked if there are least_words words or more), n: the lines that are not blank."""
     d = docs.select(F.col(id).alias("id"), F.xxhash64(F.col(id), F.col(text)).alias("doc"), F.posexplode(F.split(F.col(text), "\n")).alias("pos", "line"))
     # most lines have single blanks and no variable field: a look at the characters spares them the replacements
     d = d.withColumn("line", F.trim(F.when(F.col("line").rlike(r"[\x09-\x0D]|\x20\x20"), F.regexp_replace("line", BLANKS, " ")).otherwise(F.col("line"))))
-    d = d.withColumn("n", F.length("line") - F.length(F.translate("line", " ", "")) + 1).filter(F.col("n") >= least_words)
-    return d.withColumn("line", F.when(F.col("line").rlike("[0-9@]") | F.col("line").contains("://"), F.regexp_replace("line", VARIABLE, FIELD)).otherwise(F.col("line")))
+    d = d.withColumn("n", F.length("line") - F.length(F.translate("line", " ", "")) + 1).filter(F.col("line") != "")
+    return d.withColumn("line", F.when((F.col("n") >= least_words) & (F.col("line").rlike("[0-9@]") | F.col("line").contains("://")), F.regexp_replace("line", VARIABLE, FIELD)).otherwise(F.col("line")))
 
 
 class Leaf:
@@ -100,25 +101,28 @@ def matched(lines: DataFrame, similarity: float, depth: int, leaf_rows: int) ->
     return placed.select("m", F.xxhash64("leaf", "nth").alias("template"))
 
 
-def recurring_lines(docs: DataFrame, *, id: str = "doc_id", text: str = "text", depth: int = 3, similarity: float = 0.7, least_docs: int = 2, least_words: int = 6, leaf_rows: int = 5_000) -> DataFrame:
+def recurring_lines(docs: DataFrame, *, id: str = "doc_id", text: str = "text", depth: int = 3, similarity: float = 0.7, least_docs: int = 2, least_words: int = 6, least_short_docs: int = 6, leaf_rows: int = 5_000) -> DataFrame:
     """doc (hash of id and text) and drop, the positions of its lines to drop: documents with such lines only."""
-    lines = masked_lines(docs, id, text, depth, least_words)
-    leaf = F.xxhash64("n", F.substring_index("line", " ", depth)).alias("leaf")
-    lines = lines.select("id", "doc", "pos", leaf, F.xxhash64("line").alias("m"), "line")
+    lines = masked_lines(docs, id, text, least_words)
+    short = F.col("n") < least_words
+    # a short line is a leaf of its own
+    leaf = F.xxhash64("n", F.when(short, F.col("line")).otherwise(F.substring_index("line", " ", depth))).alias("leaf")
+    lines = lines.select("id", "doc", "pos", leaf, F.xxhash64("line").alias("m"), "line", short.alias("short"))
     lines = keep(lines, "lines")  # columnar: what needs no line does not read it
     found = lines.drop("line")
 
-    leaves = found.groupBy("leaf").agg(F.min("doc").alias("d0"), F.max("doc").alias("d1"), F.min("m").alias("m0"), F.max("m").alias("m1")).filter("d0 <> d1")
-    leaves = keep(leaves.select("leaf", (F.col("m0") != F.col("m1")).alias("mixed")), "leaves")
+    leaves = found.groupBy("leaf").agg(F.min("doc").alias("d0"), F.max("doc").alias("d1"), F.min("m").alias("m0"), F.max("m").alias("m1"), F.bool_or("short").alias("short")).filter("d0 <> d1")
+    leaves = keep(leaves.select("leaf", "short", (F.col("m0") != F.col("m1")).alias("mixed")), "leaves")
     mixed = leaves.filter("mixed").select("leaf")
     distinct = keep(lines.select("leaf", "m", "line").join(mixed, "leaf", "left_semi").groupBy("leaf", "m").agg(F.min("line").alias("line")), "distinct")
     templates = keep(matched(distinct, similarity, depth, leaf_rows), "templates")
 
-    seen = found.join(leaves, "leaf").join(templates, "m", "left").select("id", "doc", "pos", F.coalesce("template", "m").alias("template"))
+    seen = found.drop("short").join(leaves, "leaf").join(templates, "m", "left").select("id", "doc", "pos", "short", F.coalesce("template", "m").alias("template"))
     seen = keep(seen, "seen")
     order = F.struct(F.coalesce("id", F.lit(-(1 << 63)).cast("long")).alias("id"), "doc", "pos")
-    per_doc = seen.groupBy("template", "id").agg(F.min(order).alias("first"))
-    recurring = per_doc.groupBy("template").agg(F.count("*").alias("docs"), F.min("first").alias("first")).filter(F.col("docs") >= least_docs)
+    per_doc = seen.groupBy("template", "id").agg(F.min(order).alias("first"), F.bool_or("short").alias("short"))
+    recurring = per_doc.groupBy("template").agg(F.count("*").alias("docs"), F.min("first").alias("first"), F.bool_or("short").alias("short"))
+    recurring = recurring.filter(F.col("docs") >= F.when(F.col("short"), max(least_docs, least_short_docs)).otherwise(least_docs)).drop("short")
     recurring = keep(recurring, "recurring")  # both sides of the join are plain exchanges then, and a hot template can be split
     dropped = seen.join(recurring, "template").filter((F.col("doc") != F.col("first.doc")) | (F.col("pos") != F.col("first.pos")))
     return dropped.groupBy("doc").agg(F.array_sort(F.collect_set("pos")).alias("drop"))

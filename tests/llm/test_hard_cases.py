@@ -209,6 +209,13 @@ def test_line_dedup_at_any_leaf_size(spark):
         assert [r.n_dropped for r in templates.line_report(d, leaf_rows=leaf_rows).orderBy("id").collect()] == [0, 1, 1, 1]
 
 
+def test_short_lines_that_recur(spark):
+    """Short lines go by equality, from the sixth document on; digits in them are no variable fields, and blank lines stay."""
+    rows = [(i, f"All  rights reserved.\n\nowned by w{i}\nhome\n{i}" + ("\nin five" if i < 5 else "")) for i in range(6)]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert [r.dropped for r in templates.line_report(d).orderBy("id").collect()] == ["", *["0,3"] * 5]
+
+
 def test_indexed_leaf_matches_full_scan():
     import random
 
