@@ -4,8 +4,11 @@ checksum are kept only if it holds.
 Texts are scanned as UTF-8 bytes, lower-cased for the automaton in A-Z only; spans are given in code points. The base kinds need no
 checksum; plain hexadecimal runs have no keyword and are found by one scan of their own.
 
+A card number or IBAN may be followed by digits or capitals (an expiry, a BIC): each admissible length that ends with a group is tried, the
+longest first, and the first that passes its checksum counts. A match that fails its checksum hides no keyword within it.
+
 Kinds added by checksum: ``github`` and ``npm`` tokens (six base-62 digits of the CRC-32 of what stands before), ``card`` numbers after a
-card keyword (Luhn), ``iban`` after its keyword (ISO 7064 mod 97), ``jwt`` (its header decodes to a JSON object naming an algorithm).
+card keyword (Luhn), ``iban`` after its keyword (ISO 7064 mod 97, at its country's length where LENGTHS has it), ``jwt`` (its header decodes to a JSON object naming an algorithm).
 
 Cases: a null text is empty and has no spans; whole texts are scanned whatever their length; repeated rows give repeated rows; an empty
 table gives no rows; further columns are not read.
@@ -31,12 +34,13 @@ BASE = KINDS[:3]
 
 @dataclass(frozen=True)
 class Rule:
-    """keywords: lower case, where the pattern may match; a match is tried at the hit. holds: whether a match counts."""
+    """keywords: lower case, where the pattern may match; a match is tried at the hit. holds: whether a match counts. others: patterns to try, in order, where none before holds."""
 
     kind: str
     keywords: tuple[str, ...]
     pattern: re.Pattern[bytes]
     holds: Callable[[re.Match[bytes]], bool]
+    others: tuple[re.Pattern[bytes], ...] = ()
 
 
 def any_case(word: str) -> str:
@@ -58,9 +62,18 @@ def luhn(m: re.Match[bytes]) -> bool:
     return 13 <= len(digits) <= 19 and (sum(digits[-1::-2]) + sum(doubled)) % 10 == 0
 
 
+# Lengths of IBANs by country, by the public registry.
+LENGTHS = {
+    c[:2]: int(c[2:])
+    for c in """AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 ES24 FI18 FK18 FO18 FR27 GB22 GE22 GI23 GL18 GR27
+    GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 PK24 PL28 PS29
+    PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20""".split()
+}
+
+
 def mod_97(m: re.Match[bytes]) -> bool:
     code = m[1].replace(b" ", b"").decode()
-    return 15 <= len(code) <= 34 and int("".join(str(int(c, 36)) for c in code[4:] + code[:4])) % 97 == 1
+    return len(code) == LENGTHS.get(code[:2], len(code)) and 15 <= len(code) <= 34 and int("".join(str(int(c, 36)) for c in code[4:] + code[:4])) % 97 == 1
 
 
 def names_algorithm(m: re.Match[bytes]) -> bool:
@@ -70,14 +83,22 @@ def names_algorithm(m: re.Match[bytes]) -> bool:
         return False
 
 
+def card_of(digits: int) -> re.Pattern[bytes]:
+    return re.compile(rb"[A-Za-z]+[^0-9\n]{0,24}((?:[0-9][ -]?){%d}[0-9])(?![0-9])" % (digits - 1))
+
+
+def iban_of(length: int) -> re.Pattern[bytes]:
+    return re.compile(rb"[A-Za-z]{4}[: ]{0,3}([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){%d})(?![A-Za-z0-9])" % (length - 4))
+
+
 NAMES = ("password", "passwd", "secret", "token", "api_key", "apikey")
 RULES = (
     Rule("assign", NAMES, re.compile(("(" + "|".join(map(any_case, ("password", "passwd", "secret", "token"))) + "|" + any_case("api") + "_?" + any_case("key") + r""")["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""").encode()), lambda m: len(m[2]) >= 6),
     Rule("access", ("akia",), re.compile(rb"AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 20),
     Rule("github", ("ghp_", "gho_", "ghu_", "ghs_", "ghr_"), re.compile(rb"gh[pousr]_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])"), crc_62),
     Rule("npm", ("npm_",), re.compile(rb"npm_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])"), crc_62),
-    Rule("card", ("card", "visa", "mastercard", "amex"), re.compile(rb"[A-Za-z]+[^0-9\n]{0,24}((?:[0-9][ -]?){12,18}[0-9])(?![0-9])"), luhn),
-    Rule("iban", ("iban",), re.compile(rb"[A-Za-z]{4}[: ]{0,3}([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30})(?![A-Za-z0-9])"), mod_97),
+    Rule("card", ("card", "visa", "mastercard", "amex"), card_of(19), luhn, tuple(map(card_of, range(18, 12, -1)))),
+    Rule("iban", ("iban",), iban_of(34), mod_97, tuple(map(iban_of, range(33, 14, -1)))),
     Rule("jwt", ("eyj",), re.compile(rb"(eyJ[A-Za-z0-9_-]+)\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"), names_algorithm),
 )
 HEX = re.compile(rb"[0-9a-f]{24,}")
@@ -105,11 +126,15 @@ def spans_of(text: str | None, a: ahocorasick.Automaton) -> list[tuple[int, int,
     for start, i in hits:
         if start < done[i]:
             continue  # within the last match of the kind
-        if m := RULES[i].pattern.match(data, start):
-            done[i] = m.end()
-            if RULES[i].holds(m):
+        for p in (RULES[i].pattern, *RULES[i].others):
+            m = p.match(data, start)
+            if m and RULES[i].kind in BASE:
+                done[i] = m.end()
+            if m and RULES[i].holds(m):
+                done[i] = m.end()
                 # a checked code is the span itself, without the keyword before it
                 found.append((*(m.span(1) if RULES[i].kind in ("card", "iban") else m.span()), RULES[i].kind))
+                break
     if found and not data.isascii():
         at = {b: len(data[:b].decode("utf-8", "surrogatepass")) for s in found for b in s[:2]}
         found = [(at[s], at[e], k) for s, e, k in found]
