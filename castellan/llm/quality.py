@@ -4,7 +4,8 @@ Each text gives a vector of transformed statistics. For each language and source
 vectors that pass the plain limits, in the deterministic form of Hubert, Rousseeuw and Verdonck (2012): starts from medians with MAD
 scales and from the covariance of tanh scores, then concentration steps, each a pair of group-bys over the vectors: one finds the distance
 within which half of a group lies, from a histogram of distances, the other sums the vectors within it. The start of the smaller
-determinant wins. A document goes if its squared Mahalanobis distance is over ``cutoff``.
+determinant wins. A document goes if its squared Mahalanobis distance is over ``cutoff``, by default the 0.9999 quantile of the chi-square
+distribution that squared distances in a normal cloud follow.
 
 Vectors are whole numbers of 2**-20 and sums are exact decimals, so the estimates do not depend on the order of rows. A floor under each
 statistic's deviation keeps the matrices regular where most of a group is alike. Groups of fewer than ``least_rows`` share one
@@ -83,13 +84,17 @@ def chi_square_share(x: float, p: int) -> float:
     return total * exp(-x + a * log(x) - lgamma(a))
 
 
-def consistency(p: int) -> float:
-    """By how much the covariance of the inner half of a normal cloud is to be enlarged."""
+def chi_square_quantile(share: float, p: int) -> float:
     low, high = 0.0, 10.0 * p
     for _ in range(80):
         mid = (low + high) / 2
-        low, high = (mid, high) if chi_square_share(mid, p) < 0.5 else (low, mid)
-    return 0.5 / chi_square_share(low, p + 2)
+        low, high = (mid, high) if chi_square_share(mid, p) < share else (low, mid)
+    return low
+
+
+def consistency(p: int) -> float:
+    """By how much the covariance of the inner half of a normal cloud is to be enlarged."""
+    return 0.5 / chi_square_share(chi_square_quantile(0.5, p), p + 2)
 
 
 def x(i: int) -> Column:
@@ -172,7 +177,7 @@ def robust_estimates(vectors: DataFrame, steps: int) -> DataFrame:
     return keep(est.join(best, ["g", "start"]).drop("start"), "estimates")
 
 
-def quality_verdicts(docs: DataFrame, *, id: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source", least_words: int = 20, most_repeated: int = 30, cutoff: float = 60.0, least_rows: int = 200, steps: int = 4) -> DataFrame:
+def quality_verdicts(docs: DataFrame, *, id: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source", least_words: int = 20, most_repeated: int = 30, cutoff: float = chi_square_quantile(0.9999, P), least_rows: int = 200, steps: int = 4) -> DataFrame:
     """id, key (a hash of id and text), the base statistics, base_failed, distance (squared; null where base_failed), kept."""
     d = docs.select(F.col(id).alias("id"), F.col(text).alias("t"), F.col(lang).alias("lang"), F.col(source).alias("source"))
     d = base_statistics(d.withColumn("key", F.xxhash64("id", "t")), F.col("t")).drop("t")

@@ -85,6 +85,22 @@ def test_quality_rejects_what_lies_far_out(spark):
     assert again == {r.id: r.distance for r in quality.quality_verdicts(d).collect()}
 
 
+def test_quality_cutoff():
+    """Known quantiles; on the labels of sf0.01 nearly all that is bad and passes the plain limits goes, and nearly all that is good stays."""
+    import inspect
+
+    assert quality.chi_square_quantile(0.999, 5) == pytest.approx(20.515, abs=1e-3)
+    assert inspect.signature(quality.quality_verdicts).parameters["cutoff"].default == pytest.approx(25.745, abs=1e-3)
+
+
+def test_quality_by_labels(spark):
+    d = "/root/testdata/sf0.01"
+    v = quality.quality_verdicts(spark.read.parquet(f"{d}/documents.parquet")).filter("not base_failed")
+    j = v.join(spark.read.parquet(f"{d}/labels.parquet"), F.col("id") == F.col("doc_id"))
+    kept = {r.quality: r.share for r in j.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("share")).collect()}
+    assert kept[0] < 0.1 and kept[1] > 0.97
+
+
 def test_imatch(spark, nasty, empty):
     assert imatch.imatch_with_edits(empty).count() == 0
     for chars in (8_000_000, 50):
