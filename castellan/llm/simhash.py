@@ -1,11 +1,13 @@
 """SimHash near-duplicates: sharded BK-trees over the distinct fingerprints, then connected components.
 
-A fingerprint has 64 bits, each 1 if it is set in over half of the XXH64 values of the text's word shingles. Two fingerprints within
-``radius`` bits agree on at least ``blocks - radius`` of ``blocks`` equal bit ranges; so each fingerprint goes to one shard for
-each such choice of ranges, and only fingerprints that agree on a choice meet. A shard holds a BK-tree, whose children are keyed by
-their integer Hamming distance to the parent; a search follows only the edges within the radius of its own distance. A shard reports a
-forest of links and never all pairs: what is linked twice within a shard is linked once. A shard of over ``shard_rows``
-fingerprints is cut in parts, and each pair of parts gets a tree and its queries: no link is lost and no task holds more than two parts.
+A fingerprint has 64 bits, each 1 if it is set in over half of the XXH64 values of the text's word shingles. Each shard is a BK-tree of
+about ``tree_rows`` fingerprints, each a node whose children are keyed by their integer Hamming distance to it; a search follows only the edges
+within the radius of its own distance. Two fingerprints within ``radius`` bits agree on at least ``blocks - radius`` of ``blocks`` equal
+bit ranges; so each fingerprint goes to one tree for each such choice of ranges, by their first bits, and only the queries that a tree can
+answer travel to it. All trees together are all fingerprints, which have no size bound and must not pass through the driver; so trees are
+not broadcast to every task but meet their queries by key. A tree reports a forest of links and never all pairs: what is
+linked twice within it is linked once. A shard of over ``shard_rows`` fingerprints is cut in parts, and each pair of parts gets a
+tree and its queries: no link is lost and no task holds more than two parts.
 
 Equal texts have equal fingerprints, so copies meet in one group-by and are one node from there on.
 
@@ -34,7 +36,6 @@ from castellan.workspace import keep
 
 UPPER, LOWER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
 TO_LOWER = bytes.maketrans(UPPER, LOWER)
-LEAF = 32
 
 
 def simhash(text: str | None, shingle: int = 3, seed: int = 42) -> int:
@@ -75,38 +76,41 @@ def apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 class BKTree:
-    """A BK-tree over fingerprints (rows of 64-bit words), built and searched in batches.
+    """A BK-tree over fingerprints (rows of 64-bit words): each is a node, its children keyed by their integer distance to it.
 
-    A node is (pivot, children by distance) or, at LEAF fingerprints or fewer, their plain positions; so are fingerprints equal to a pivot."""
+    Built and searched a level at a time. ``visited`` counts the nodes that searches looked at, over all queries."""
 
     def __init__(self, fps: np.ndarray):
-        self.fps = fps
-        self.root = self._grow(np.arange(len(fps)))
-
-    def _grow(self, members: np.ndarray):
-        if len(members) <= LEAF:
-            return members
-        pivot, rest = members[0], members[1:]
-        d = apart(self.fps[rest], self.fps[pivot])
-        return pivot, {int(k): self._grow(rest[d == k]) if k else rest[d == 0] for k in np.unique(d)}
+        self.fps, self.visited = fps, 0
+        parent, edge = np.full(len(fps), -1), np.zeros(len(fps), np.int64)
+        members, group = np.arange(len(fps)), np.zeros(len(fps), np.int64)
+        while len(members):  # the first of each group is its node, the others go by their distance to it
+            opens = np.r_[True, group[1:] != group[:-1]]
+            over = members[opens][np.cumsum(opens) - 1][~opens]
+            members = members[~opens]
+            d = apart(fps[members], fps[over]).astype(np.int64)
+            order = np.lexsort((d, over))
+            members, over, d = members[order], over[order], d[order]
+            parent[members], edge[members] = over, d
+            group = over << 16 | d
+        order = np.lexsort((edge, parent))[int(len(fps) > 0) :]
+        self.children, self.keys = order, parent[order] << 16 | edge[order]
 
     def within(self, queries: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Arrays of query positions and tree positions at most radius apart."""
-        todo = [(self.root, np.arange(len(queries)))]
-        while todo:
-            node, q = todo.pop()
-            if isinstance(node, np.ndarray):
-                for some in np.array_split(q, max(1, len(q) * len(node) >> 20)):
-                    at, who = np.nonzero(apart(queries[some][:, None], self.fps[node][None, :]) <= radius)
-                    yield some[at], node[who]
-                continue
-            pivot, children = node
-            d = apart(queries[q], self.fps[pivot])
-            near = q[d <= radius]
-            yield near, np.full(len(near), pivot)
-            for k, child in children.items():
-                if len(some := q[np.abs(d - k) <= radius]):
-                    todo.append((child, some))
+        """Arrays of query positions and tree positions at most radius apart; only edges within the radius of a query's distance are followed."""
+        n = len(self.fps)
+        for at in range(0, len(queries) if n else 0, some := max(1, (1 << 21) // max(n, 1))):
+            q = np.arange(at, min(at + some, len(queries)))
+            node = np.zeros(len(q), np.int64)
+            while len(q):
+                d = apart(queries[q], self.fps[node]).astype(np.int64)
+                self.visited += len(q)
+                near = d <= radius
+                yield q[near], node[near]
+                low = np.searchsorted(self.keys, node << 16 | np.maximum(d - radius, 0))
+                many = np.searchsorted(self.keys, node << 16 | d + radius, "right") - low
+                q = np.repeat(q, many)
+                node = self.children[np.arange(many.sum()) + np.repeat(low - np.cumsum(many) + many, many)]
 
 
 class Shard:
@@ -193,30 +197,35 @@ def links_in_shards(
     return cells.repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(run, "a bigint, b bigint")
 
 
-def links_of(nodes: DataFrame, radius: int, blocks: int, shard_rows: int) -> DataFrame:
-    """a, b: links between distinct fingerprints (column fp) within the radius that keep every component whole."""
+def links_of(nodes: DataFrame, radius: int, blocks: int, tree_rows: int, shard_rows: int) -> DataFrame:
+    """a, b: links between distinct fingerprints (column fp) within the radius that keep every component whole.
+
+    Of each range of bits a key reads as many as make shards of about tree_rows fingerprints: fewer bits lose no pair."""
     edges = [64 * i // blocks for i in range(blocks + 1)]
+    bits = max(0, math.floor(math.log2(max(1, nodes.count()) / tree_rows)))
+    each = -(-bits // (blocks - radius))
 
-    def bits(i: int) -> str:
-        return f"(shiftrightunsigned(fp, {edges[i]}) & {(1 << (edges[i + 1] - edges[i])) - 1}L)"
+    def first_bits(i: int) -> str:
+        return f"(shiftrightunsigned(fp, {edges[i]}) & {(1 << min(each, edges[i + 1] - edges[i])) - 1}L)"
 
     def link(columns: list[np.ndarray], parts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         return Shard(columns[0].view(np.uint64)[:, None], parts).forest(radius)
 
-    choices = [f"xxhash64({n}, {', '.join(map(bits, some))})" for n, some in enumerate(combinations(range(blocks), blocks - radius))]
+    choices = [f"xxhash64({n}, {', '.join(map(first_bits, some))})" for n, some in enumerate(combinations(range(blocks), blocks - radius))]
+    choices = choices if bits else ["0L"]  # one tree holds all
     keyed = nodes.select(F.col("fp").alias("node"), F.explode(F.expr(f"array({', '.join(choices)})")).alias("key"))
     large = keep(keyed.groupBy("key").agg(F.count("*").alias("rows")).filter(F.col("rows") > shard_rows), "large")
     parts = F.expr(f"if(rows is null, 1L, cast(ceil(rows / {shard_rows}) as bigint))")
     return links_in_shards(keyed.join(large, "key", "left").select("key", parts.alias("parts"), "node"), link)
 
 
-def simhash_components(docs: DataFrame, *, id: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = 2, blocks: int = 4, shard_rows: int = 20_000, seed: int = 42) -> DataFrame:
+def simhash_components(docs: DataFrame, *, id: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = 2, blocks: int = 3, tree_rows: int = 1_024, shard_rows: int = 20_000, seed: int = 42) -> DataFrame:
     """id, fp (signed long), component (the smallest id reachable), one row for each row of docs."""
     if not 0 <= radius < blocks <= 64:
         raise ValueError("blocks must exceed radius, or near fingerprints could share no range of bits")
     fps = keep(fingerprints(docs, id=id, text=text, shingle=shingle, seed=seed), "fingerprints")
     nodes = keep(fps.groupBy("fp").agg(F.min("id").alias("least")), "nodes")
-    member = connected_components(links_of(nodes, radius, blocks, shard_rows))
+    member = connected_components(links_of(nodes, radius, blocks, tree_rows, shard_rows))
     named = nodes.join(member, nodes["fp"] == member["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = named.groupBy("root").agg(F.min("least").alias("component"))
     named = named.join(least, "root").select("fp", "component")
@@ -224,7 +233,7 @@ def simhash_components(docs: DataFrame, *, id: str = "doc_id", text: str = "text
 
 
 #: Of a near-duplicate sketch: words of 64 bits in a fingerprint, and the keys, each from as many minima of the shingles' hashes.
-SKETCH_WORDS, SKETCH_KEYS, KEY_MINIMA = 4, 10, 3
+SKETCH_WORDS, SKETCH_KEYS, KEY_MINIMA = 4, 16, 3
 
 
 def shingle_hashes(text: str | None, shingle: int, seed: int = 42) -> np.ndarray:
@@ -337,8 +346,8 @@ def near_groups(docs: DataFrame, *, id: str = "doc_id", text: str = "text", shin
     """digest (of a set of shingles), least (struct: the least row that has it) and component (struct: the least row reachable).
 
     A row is (no_id, id, doc), doc being a hash of its id and text; rows without an id come last. Texts are linked if their sets of word
-    shingles have the similarity; copies, that is equal sets, are one node. Near copies meet in a shard with a chance of 99.9 % at a similarity
-    of 0.8 and more above it (ten keys, each from three minima of the shingles' hashes); within a shard a BK-tree over 256-bit SimHash
+    shingles have the similarity; copies, that is equal sets, are one node. Near copies meet in a shard with a chance of 99.999 % at a similarity
+    of 0.8 and more above it (16 keys, each from three minima of the shingles' hashes); within a shard a BK-tree over 256-bit SimHash
     fingerprints finds candidates, and the whole sets, which lie in the same task, decide each at once. So a shard emits a forest of decided
     links and no pairs. A shard of over ``shard_hashes`` hashes is cut in parts; only nodes that share a shard with another have their sets sent."""
     fs = [f"f{i}" for i in range(SKETCH_WORDS)]

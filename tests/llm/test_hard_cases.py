@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -187,10 +188,13 @@ def test_tokens_are_the_tokenizers(spark):
     import random
 
     own, letters = packing.word_ids(TOKENIZER), "ab cD.,'s|<>é́ßİΣςıſ \x1c\x85 ​9٣中\U0001f600\n\t"
-    rng = random.Random(3)
+    rng, texts = random.Random(3), []
     for _ in range(3000):
         s = "".join(rng.choice(letters) for _ in range(rng.randint(0, 14))) + ("<|endoftext|>x" if rng.random() < 0.05 else "")
-        assert own.of_text(s) == own.in_full(s)
+        texts.append(s)
+    ids, n = own.of_texts(pa.array([*texts, None]), 2)
+    each = np.split(ids, np.cumsum(n)[:-1])
+    assert own.by_word and each[-1].tolist() == [2] and all(x.tolist() == [*own.in_full(s).tolist(), 2] for x, s in zip(each, texts))
 
 
 def test_neighbours_share_a_window(spark):
@@ -201,6 +205,40 @@ def test_neighbours_share_a_window(spark):
     assert sum(a != b for a, b in zip(order, order[1:])) <= 4
 
 
+def test_bm25_scores_match_brute_force():
+    from math import log1p
+
+    rng = np.random.default_rng(6)
+    docs = [rng.integers(0, 60, rng.integers(1, 50)).astype(np.uint16) ** 2 for _ in range(70)]
+    idf, mean = np.array([log1p(1 + i % 7) for i in range(1 << 16)]), 25.0
+    index = packing.Bm25Index(np.concatenate(docs), np.array([len(d) for d in docs]), idf, mean)
+    for s in range(0, 70, 9):
+        want = [sum(idf[t] * (n := (d == t).sum()) * 2.2 / (n + 1.2 * (0.25 + 0.75 * len(d) / mean)) for t in set(docs[s].tolist())) for d in docs]
+        assert index.scores(s) == pytest.approx(want)
+        unused = rng.random(70) < 0.5
+        assert index.ranked(s, unused).tolist() == sorted((i for i in range(70) if unused[i] and want[i] > 0), key=lambda i: (-round(want[i], 9), i))
+
+
+def test_neighbours_lie_in_the_seeds_shard(spark):
+    """Documents of 30 subjects in some 60 shards: most of the true BM25 neighbours of each can be reached."""
+    rng = np.random.default_rng(9)
+    words = [[f"{chr(97 + s % 26)}{chr(97 + s // 26)}{chr(97 + k)}{chr(97 + (s * k) % 26)}" for k in range(25)] for s in range(31)]
+    rows = [(i, " ".join([*rng.choice(words[i % 30], 60), *rng.choice(words[30], 40)])) for i in range(900)]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string")
+    tokens = packing.keep(packing.tokenized(d, tokenizer_path=TOKENIZER, end_id=2), "tokens")
+    at = {r.id: np.frombuffer(r.ids, "<u2") for r in tokens.collect()}
+    ids, sizes = np.concatenate([at[i] for i in range(900)]), np.array([len(at[i]) for i in range(900)])
+    df = np.bincount(packing.distinct_ids(ids, sizes)[1], minlength=1 << 16)
+    idf = np.log1p((900 - df + 0.5) / (df + 0.5))
+    shards = int(sizes.sum()) // 4_000
+    dealt = packing.deal(tokens, 900, spark.sparkContext.broadcast(idf), shards, 4_000, 11)
+    shard = {r.id: r.shard for r in dealt.select("id", "shard").collect()}
+    assert len(shard) == 900 and len(set(shard.values())) > 20
+    index = packing.Bm25Index(ids, sizes, idf, sizes.mean())
+    hits = [np.mean([shard[int(j)] == shard[i] for j in np.argsort(-index.scores(i), kind="stable")[1:6]]) for i in range(0, 900, 7)]
+    assert np.mean(hits) > 0.5  # by chance about 0.03
+
+
 def test_line_dedup(spark, nasty, empty):
     assert templates.line_report(empty).count() == 0 and templates.drop_recurring_lines(empty).columns == empty.columns
     out = templates.drop_recurring_lines(nasty)
@@ -306,12 +344,23 @@ def test_simhash_links_match_brute_force(spark):
     want = {frozenset(g for g in fps if find(g) == r) for r in map(find, fps)}
     signed = lambda f: f - (1 << 64) if f >> 63 else f
     nodes = spark.createDataFrame([(signed(f),) for f in fps], "fp bigint")
-    for shard_rows in (20_000, 3):  # a large shard is cut in parts
-        member = {r.node & (1 << 64) - 1: r.root for r in simhash.connected_components(simhash.links_of(nodes, 2, 4, shard_rows)).collect()}
+    for tree_rows, shard_rows, blocks in ((1_024, 20_000, 3), (1_024, 3, 3), (8, 20_000, 3), (2, 3, 4), (1, 20_000, 5)):  # one tree, its parts, trees by bits
+        member = {r.node & (1 << 64) - 1: r.root for r in simhash.connected_components(simhash.links_of(nodes, 2, blocks, tree_rows, shard_rows)).collect()}
         got = {frozenset(g for g in fps if member.get(g, signed(g)) == r) for r in (member.get(f, signed(f)) for f in fps)}
         assert got == want
 
 
+def test_bk_tree_prunes_and_finds_all():
+    rng = np.random.default_rng(4)
+    fps = rng.integers(0, 1 << 63, 800, dtype=np.uint64)
+    fps = np.unique(np.concatenate([fps, fps[:200] ^ np.uint64(1), fps[:100] ^ np.uint64(3 << 30)]))[:, None]
+    tree = simhash.BKTree(fps)
+    got = {(int(a), int(b)) for q, n in tree.within(fps, 2) for a, b in zip(q, n)}
+    assert got == {(a, b) for a in range(len(fps)) for b in range(len(fps)) if (int(fps[a, 0]) ^ int(fps[b, 0])).bit_count() <= 2}
+    assert tree.visited < 0.1 * len(fps) ** 2
+    assert len(tree.children) == len(fps) - 1 and not list(simhash.BKTree(fps[:0]).within(fps, 2))
+
+
 def test_pipeline_passes_hard_cases_on(spark, nasty, empty, tmp_path):
     for docs in (empty.select(*SCHEMA.replace(" bigint", "").replace(" string", "").split(", ")), nasty.select("doc_id", "text", "lang", "source", "n_chars")):
         d = docs
