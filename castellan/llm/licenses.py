@@ -1,9 +1,10 @@
 """License scans by conditional compression.
 
 Lines with a licensing cue, and the lines between two of them at most ``gap`` apart, are a candidate block. Each template serves as a raw
-zstandard dictionary: what it says costs next to nothing to say again, so the templates are ranked by how much smaller each makes the block. The
-best ``confirm`` of them are aligned with the block word by word; the one of fewest differing words wins if these are at most
-``tolerance`` of its words, and the differences are reported.
+zstandard dictionary: what it says costs next to nothing to say again, so the templates are ranked by how much smaller each makes the block. In
+this order they are aligned with the block word by word, but for those of which the block lacks more than ``tolerance`` of the words
+wherever they stand (they cannot be confirmed); the one of fewest differing words wins if these are at most ``tolerance`` of its
+words, and the differences are reported. A long block is read in frames of a few times the longest template, so the work grows with its length.
 
 Cases: a null or empty text has no block; whole texts are scanned; a block may hold several notices, found one after another; repeated rows give
 repeated rows; an empty table gives no rows; further columns are not read.
@@ -12,6 +13,7 @@ repeated rows; an empty table gives no rows; further columns are not read.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 from functools import lru_cache
@@ -34,18 +36,33 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
     ),
-    "GPL-2.0": ("This work is licensed under the GNU General Public License, version 2.",),
+    "GPL-2.0": (
+        "This work is licensed under the GNU General Public License, version 2.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    ),
     "GPL-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     ),
-    "LGPL-3.0": ("This work is licensed under the GNU Lesser General Public License, version 3.",),
-    "AGPL-3.0": ("This work is licensed under the GNU Affero General Public License, version 3.",),
+    "LGPL-3.0": (
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ),
+    "AGPL-3.0": (
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ),
     "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",),
     "BSD-3-Clause": (
         "Released under the BSD 3-Clause License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
     ),
+    "BSD-2-Clause": (
+        "Released under the BSD 2-Clause License.",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    ),
+    "Zlib": ("This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution.",),
+    "BSL-1.0": ("Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so.",),
     "ISC": ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",),
     "CC-BY-4.0": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     "CC-BY-SA-4.0": ("Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
@@ -63,7 +80,7 @@ def plain_words(text: str) -> list[str]:
 
 
 class Templates:
-    """Compressors primed with each template, and its words."""
+    """Compressors primed with each template, its words and how often it has each."""
 
     def __init__(self, templates: dict[str, tuple[str, ...]]):
         self.plain = zstandard.ZstdCompressor(level=3)
@@ -72,13 +89,18 @@ class Templates:
             for t in texts:
                 words = plain_words(t)
                 primed = zstandard.ZstdCompressionDict(" ".join(words).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-                self.known.append((name, words, zstandard.ZstdCompressor(level=3, dict_data=primed)))
-
-    def ranked(self, words: list[str]) -> tuple[int, list[tuple[int, str, list[str]]]]:
-        """The block's own compressed size, and (reduction, name, words) of the templates, greatest first."""
+                self.known.append((name, words, Counter(words), zstandard.ZstdCompressor(level=3, dict_data=primed)))
+        self.longest = max(len(words) for _, words, _, _ in self.known)
+
+    def ranked(self, words: list[str], tolerance: float) -> tuple[int, list[tuple[int, str, list[str]]]]:
+        """The block's own compressed size, and (reduction, name, words), greatest first, of the templates of which it has enough words."""
+        has = Counter(words)
+        able = [(name, t, c) for name, t, n, c in self.known if sum(max(0, k - has[w]) for w, k in n.items()) <= tolerance * len(t)]
+        if not able:
+            return 0, []
         data = " ".join(words).encode("utf-8", "surrogatepass")
         size = len(self.plain.compress(data))
-        found = [(size - len(c.compress(data)), name, t) for name, t, c in self.known]
+        found = [(size - len(c.compress(data)), name, t) for name, t, c in able]
         return size, sorted(found, key=lambda x: (-x[0], x[1], len(x[2])))
 
 
@@ -116,29 +138,48 @@ def blocks_of(text: str, gap: int) -> list[tuple[int, int]]:
     return spans
 
 
-def notices_in(text: str, start: int, end: int, confirm: int, tolerance: float) -> Iterator[dict]:
-    """Confirmed notices within a block: the best one, then what the words before and after it hold."""
-    todo = [[(m.start() + start, m.end() + start, m[0].strip(EDGES).lower()) for m in re.finditer(r"\S+", text[start:end])]]
-    while todo:
-        words = todo.pop()
-        if len(words) < 2 or not CUES.search(" ".join(w for *_, w in words)):
+Word = tuple[int, int, str]
+
+
+def best_notice(words: list[Word], tolerance: float) -> tuple[int, int, dict] | None:
+    """The first and last word of the notice that differs least, and what is reported of it."""
+    plain = [w for *_, w in words]
+    size, ranked = all_templates().ranked(plain, tolerance)
+    found = []
+    for reduction, name, template in ranked:
+        missing, extra, first, last = differences(template, plain)
+        if missing + extra <= tolerance * len(template):
+            found.append((missing + extra - len(template), -reduction, name, missing, extra, first, last))
+    if not found:
+        return None
+    _, reduction, name, missing, extra, first, last = min(found)
+    return first, last, {"license": name, "start": words[first][0], "end": words[last - 1][1], "missing": missing, "extra": extra, "plain_bytes": size, "saved_bytes": -reduction}
+
+
+def notices_in(text: str, start: int, end: int, tolerance: float) -> Iterator[dict]:
+    """Confirmed notices within a block, frame by frame: the best one of a frame, then what the words before and after it hold.
+
+    A notice that starts where its end may lie beyond the frame is looked at again in a frame that starts with it."""
+    words = [(m.start() + start, m.end() + start, m[0].strip(EDGES).lower()) for m in re.finditer(r"\S+", text[start:end])]
+    longest = 2 * all_templates().longest
+    frames = [(0, len(words))]  # (from, to) of what is still to be read
+    while frames:
+        a, b = frames.pop()
+        frame = words[a : min(b, a + 2 * longest)]
+        if len(frame) < 2:
             continue
-        plain = [w for *_, w in words]
-        size, ranked = all_templates().ranked(plain)
-        found = []
-        for reduction, name, template in ranked[:confirm]:
-            if reduction <= 0:
-                break
-            missing, extra, first, last = differences(template, plain)
-            if missing + extra <= tolerance * len(template):
-                found.append((missing + extra - len(template), -reduction, name, missing, extra, first, last))
-        if found:
-            _, reduction, name, missing, extra, first, last = min(found)
-            yield {"license": name, "start": words[first][0], "end": words[last - 1][1], "missing": missing, "extra": extra, "plain_bytes": size, "saved_bytes": -reduction}
-            todo += [words[last:], words[:first]]
-
-
-def scan_licenses(docs: DataFrame, *, id: str = "doc_id", text: str = "text", gap: int = 2, confirm: int = 12, tolerance: float = 0.2) -> DataFrame:
+        more = a + len(frame) < b
+        best = best_notice(frame, tolerance)
+        if best is None:
+            frames += [(a + len(frame) - longest, b)] if more else []
+        elif more and best[0] > len(frame) - longest:
+            frames += [(a + best[0], b), (a, a + best[0])]
+        else:
+            yield best[2]
+            frames += [(a + best[1], b), (a, a + best[0])]
+
+
+def scan_licenses(docs: DataFrame, *, id: str = "doc_id", text: str = "text", gap: int = 2, tolerance: float = 0.2) -> DataFrame:
     """id, n_blocks, and notices (license, start, end in code points, missing and extra words, plain_bytes, saved_bytes) by start."""
     fields = [("license", pa.string()), *((n, pa.int64()) for n in ("start", "end", "missing", "extra", "plain_bytes", "saved_bytes"))]
 
@@ -148,7 +189,7 @@ def scan_licenses(docs: DataFrame, *, id: str = "doc_id", text: str = "text", ga
             for t in b.column(1).to_pylist():
                 spans = blocks_of(t or "", gap)
                 n.append(len(spans))
-                notices.append(sorted((x for s, e in spans for x in notices_in(t, s, e, confirm, tolerance)), key=lambda x: (x["start"], x["end"])))
+                notices.append(sorted((x for s, e in spans for x in notices_in(t, s, e, tolerance)), key=lambda x: (x["start"], x["end"])))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(notices, pa.list_(pa.struct(fields)))], ["id", "n_blocks", "notices"])
 
     kind = docs.schema[id].dataType.simpleString()

@@ -79,15 +79,19 @@ def split_once(nodes: DataFrame, seed: int) -> DataFrame:
     return n.select(child.alias("c")).select("c.lo", "c.hi", "c.quotas")
 
 
-def mix_sources(docs: DataFrame, *, id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = (1, 2, 3), max_repeats: int = 3, block_words: int = 500_000, shard_words: int = 16_000_000, seed: int = 20240607) -> Mix:
-    """Plan the mix; see the module. block_words bounds a block (words and rows together), shard_words sets the number of shards."""
+def mix_sources(docs: DataFrame, *, id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = (1, 2, 3), max_repeats: int = 3, block_words: int = 500_000, shard_words: int = 16_000_000, least_shards: int = 8, blocks_a_shard: int = 32, seed: int = 20240607) -> Mix:
+    """Plan the mix; see the module. shard_words and least_shards set the number of shards, blocks_a_shard and block_words the size of blocks (words and
+    rows together), so that the tree has draws to split at any size."""
     size = F.size(words_of(F.col(text))).cast("long")
     sized = keep(docs.select(F.col(id).alias("id"), F.col(source).alias("source"), size.alias("size"), F.xxhash64(F.lit(seed), F.col(id), F.col(text)).alias("h")), "sizes")
 
+    total, rows_in = sized.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()  # all targets together are all words
+    shards = max(least_shards, ceil(total / shard_words))
+    block = max(1, min(block_words, (total + rows_in) // (blocks_a_shard * shards)))
     src = source_targets(sized, weights, max_repeats)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     src = src.withColumn("copies", whole).withColumn("rest", F.round("target").cast("long") - F.col("copies") * F.col("source_size"))
-    src = src.withColumn("n_blocks", F.greatest(F.lit(1), F.ceil((F.col("source_size") + F.col("source_rows")) / block_words)))
+    src = src.withColumn("n_blocks", F.greatest(F.lit(1), F.ceil((F.col("source_size") + F.col("source_rows")) / block)))
     src = keep(src, "sources")
 
     rows = sized.join(src, sized["source"].eqNullSafe(src["source"])).drop(src["source"]).withColumn("block", F.pmod("h", F.col("n_blocks")))
@@ -103,8 +107,6 @@ def mix_sources(docs: DataFrame, *, id: str = "doc_id", text: str = "text", sour
     draws = keep(draws.select("g", "block", "epoch", "words", "part", (F.row_number().over(in_order) - 1).cast("long").alias("draw")), "draws")
 
     quotas = src.join(draws.groupBy("g").agg(F.count("*").alias("n")), "g", "left").select("g", F.coalesce("n", F.lit(0)).alias("n"))
-    wanted = draws.agg(F.coalesce(F.sum(F.coalesce("part", "words")), F.lit(0))).first()[0]
-    shards = max(1, ceil(wanted / shard_words))
     by_source = F.transform(F.array_sort(F.collect_list(F.struct("g", "n"))), lambda x: x["n"])
     nodes = quotas.agg(F.lit(0).cast("long").alias("lo"), F.lit(shards).cast("long").alias("hi"), by_source.alias("quotas")).filter(F.size("quotas") > 0)
     for level in range(ceil(log2(shards))):
@@ -154,7 +156,7 @@ def mixed_documents(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     plan = mix.rows.filter("taken > 0").select("h", "size", "taken", "copies", "part").withColumn("nth", F.row_number().over(same))
     d, names = numbered(docs)
     d = d.withColumn("h", F.xxhash64(F.lit(seed), F.col(names[id]), F.col(names[text])))
-    d = d.withColumn("nth", F.row_number().over(Window.partitionBy("h").orderBy(F.lit(1))))
+    d = d.withColumn("nth", F.row_number().over(Window.partitionBy("h").orderBy(F.xxhash64(*names.values()))))
     d = d.join(plan, ["h", "nth"])
     parts = F.concat(F.array_repeat(F.lit(None).cast("long"), F.col("copies").cast("int")), F.when(F.col("part") > 0, F.array("part")).otherwise(F.array().cast("array<bigint>")))
     d = d.withColumn("words", F.explode(parts))

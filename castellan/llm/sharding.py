@@ -117,8 +117,8 @@ class ShardedTable:
         m = re.search(r"part-(\d+)-[^/]*?(?:\.|-)c(\d+)[^/]*$", path)
         return int(m[1]), int(m[2])
 
-    def append(self, df: DataFrame, *, shard_rows: int = 2_000) -> int:
-        """Add the rows of df in shards of at most shard_rows rows; the version that has them."""
+    def append(self, df: DataFrame, *, shard_rows: int = 0) -> int:
+        """Add the rows of df in one shard for each task, cut at shard_rows rows if given; the version that has them."""
         new = self._write(df, 0, shard_rows)
         while True:
             version, live = self.shards()

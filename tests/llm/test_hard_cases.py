@@ -67,6 +67,18 @@ def test_licenses(spark, nasty, empty):
     assert [f[0] for f in found[2]] == ["GPL-2.0"]
 
 
+def test_every_template_is_confirmed_wherever_it_stands():
+    """Each notice alone, and all of them in one long block: found whole, without differences, under a name that words them so."""
+    for name, texts in licenses.TEMPLATES.items():
+        for t in texts:
+            found = list(licenses.notices_in(t, 0, len(t), 0.2))
+            assert [(x["start"], x["missing"], x["extra"]) for x in found if x["end"] == len(t) or x["start"] == 0][:1] == [(0, 0, 0)], (name, found)
+    notice = "Released under the MIT License."
+    text = " ".join(f"{notice} word{i} and more prose {i}" for i in range(500))
+    found = sorted(x["start"] for x in licenses.notices_in(text, 0, len(text), 0.2))
+    assert len(found) == 500 and all(text[s:].startswith(notice) for s in found)
+
+
 def test_quality(spark, nasty, empty):
     assert quality.quality_verdicts(empty).count() == 0 and quality.keep_quality(empty).columns == empty.columns
     v = quality.quality_verdicts(nasty)

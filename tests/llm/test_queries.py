@@ -36,6 +36,8 @@ def test_op1_sharding(spark, docs):
     got = rows(spark, "op1_sharding")
     assert {d: r.text_crc32 for d, r in got.items()} == {d: zlib.crc32(t.encode()) for d, t in docs.items()}
     assert collections.Counter(r.shard for r in got.values()) == {r.shard: r.shard_rows for r in got.values()}
+    # four arrivals of one file each make a run, merged in the version after them
+    assert {(r.level, r.version) for r in got.values()} == {(1, 5)}
 
 
 def test_op2_licenses(spark, docs):
@@ -96,6 +98,8 @@ def test_op5_targets(spark, docs):
         taken[source[d]] += r.taken
         assert r.target == pytest.approx(target[source[d]]) and r.source_size == size[source[d]]
     assert all(abs(taken[s] - target[s]) <= 0.5 for s in size)
+    owners = collections.Counter(s for r in got.values() for s in r.shards.split(",") if s)
+    assert len(owners) == 8  # the tree has split eight ways
     assert got == rows(spark, "op5_mixing")
 
 
