@@ -38,11 +38,16 @@ def parse_pgn(x: Column) -> Column:
 
 
 def parse_day_month_year(x: Column) -> Column:
-    """12 Mar 1901, Mar 1901 or 1901, years 1000 to 2100."""
-    p = r"(?i)^(?:(?:(\d{1,2})\s+)?([a-z]{3})[a-z]*\.?\s+)?(1\d{3}|20\d{2}|2100)$"
-    g = lambda i: F.regexp_extract(F.trim(x), p, i)
-    month = F.nullif(F.array_position(F.array(*map(F.lit, MONTHS)), F.lower(g(2))), F.lit(0)).cast("int")
-    return F.when(F.trim(x).rlike(p), F.struct(g(3).try_cast("int").alias("y"), month.alias("m"), F.when(month.isNotNull(), g(1).try_cast("int")).alias("d")))
+    """12 Mar 1901, Mar 1901, or 1901 for years 1000 to 2100; null where the day is not 1 to 31 or the month has no known name."""
+    parts = F.split(F.trim(x), r"\s+")
+    n, number = F.size(parts), lambda i: F.get(parts, F.lit(i)).try_cast("int")
+    named = lambda i: F.nullif(F.array_position(F.array(*map(F.lit, MONTHS)), F.substring(F.lower(F.rtrim(F.get(parts, F.lit(i)), F.lit("."))), 1, 3)), F.lit(0)).cast("int")
+    made = lambda y, m, d: F.struct(y.alias("y"), m.cast("int").alias("m"), d.cast("int").alias("d"))
+    none = F.lit(None)
+    return (
+        F.when((n == 3) & number(0).between(1, 31) & named(1).isNotNull() & number(2).isNotNull(), made(number(2), named(1), number(0)))
+        .when((n == 2) & named(0).isNotNull() & number(1).isNotNull(), made(number(1), named(0), none)).when((n == 1) & number(0).between(1000, 2100), made(number(0), none, none))
+    )
 
 
 def sanitize(date: Column) -> Column:

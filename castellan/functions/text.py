@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from html import unescape
+from html.parser import HTMLParser
+from urllib.parse import urljoin
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,8 +42,10 @@ def esc(x: Column) -> Column:
 
 
 def format_g(x: Column) -> Column:
-    """A number without decimals if it has none."""
-    return F.when(x == F.floor(x), F.floor(x).cast("string")).otherwise(x.cast("string"))
+    """A number without decimals if it has none, and never with an exponent."""
+    plain = x.cast("string")
+    spelled = F.regexp_replace(plain.try_cast("decimal(38,18)").cast("string"), r"\.?0+$", "")
+    return F.when((F.abs(x) < 1e18) & (x == F.floor(x)), F.floor(x).cast("string")).when(plain.contains("E"), F.coalesce(spelled, plain)).otherwise(plain)
 
 
 #: Words that say nothing about which tournament it is.
@@ -48,8 +55,8 @@ GENERIC_WORDS = ("open", "tournament", "championship", "final", "group", "sectio
 def name_key(x: Column) -> Column:
     """A tournament name without ordinal, year and generic words, for comparison."""
     k = F.replace(F.lower(normalize_space(x)), F.lit("&"), F.lit(" and "))
-    k = F.regexp_replace(k, r"^\s*\d+(st|nd|rd|th)?\b", " ")
-    k = F.regexp_replace(k, r"\b(1[5-9]|20)\d\d\b", " ")
+    k = F.regexp_replace(k, r"^\d{1,3}(st|nd|rd|th)\s+", "")
+    k = F.regexp_replace(k, r"\b(1[5-9]|20)\d\d\b", "")
     k = F.regexp_replace(k, rf"\b({'|'.join(GENERIC_WORDS)})\b", " ")
     return F.trim(F.regexp_replace(k, "[^a-z0-9]+", " "))
 
@@ -88,31 +95,86 @@ def int_like(x: Column) -> Column:
 
 
 def rating_value(x: Column) -> Column:
-    """A positive number, else the first run of three or four digits from 100 on, else 0."""
-    number = F.when(F.trim(x).rlike(r"^\d+(\.\d+)?$"), F.trim(x).try_cast("double"))
+    """Of a text: its first run of three or four digits if that is 100 or more, else 0."""
     run = F.regexp_extract(x, r"(\d{3,4})", 1).try_cast("int")
-    return F.when(number > 0, number.cast("int")).when(run >= 100, run).otherwise(0)
+    return F.when(run >= 100, run).otherwise(0)
+
+
+def rating_number(x: Column) -> Column:
+    """Of a number: its whole part if positive, else 0."""
+    return F.greatest(F.coalesce(x.try_cast("int"), F.lit(0)), F.lit(0))
 
 
 def canonical_url(url: Column, aliases: dict[str, str] | None = None) -> Column:
-    """https, lower-case host (aliases replaced), no fragment; path and query stay."""
+    """Lower-case scheme (https if none) and host, no parameters and no fragment; path and query stay. An aliased host becomes its own, over https."""
     host = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
+    scheme = F.coalesce(F.nullif(F.lower(F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*)://", 1)), F.lit("")), F.lit("https"))
+    aliased = host.isin(*(aliases or {"": ""}))
+    own = host
     for old, new in (aliases or {}).items():
-        host = F.when(host == old, new).otherwise(host)
+        own = F.when(host == old, new).otherwise(own)
     path = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
-    query = F.regexp_extract(url, r"(\?[^#]*)", 1)
-    return F.concat(F.lit("https://"), host, F.when(path == "", "/").otherwise(path), query)
+    path = F.regexp_replace(path, r";[^/]*$", "")
+    query = F.regexp_replace(F.regexp_extract(url, r"^[^#?]*(\?[^#]*)", 1), r"^\?$", "")
+    return F.concat(F.when(aliased, "https").otherwise(scheme), F.lit("://"), own, F.when(path == "", "/").otherwise(path), query)
 
 
 def html_text(html: Column) -> Column:
-    """What is left without scripts, styles and tags, the five basic entities resolved."""
-    t = F.regexp_replace(html, r"(?is)<(script|style)[^>]*>.*?</(script|style)>", " ")
-    t = F.regexp_replace(t, r"(?s)<[^>]*>", " ")
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        t = F.replace(t, F.lit(entity), F.lit(char))
-    return normalize_space(t)
+    """What is left without scripts, styles and tags, all entities resolved (in Arrow batches: there are thousands of them)."""
+    t = F.regexp_replace(F.regexp_replace(html, r"(?is)<script.*?</script>", " "), r"(?is)<style.*?</style>", " ")
+    return normalize_space(unescaped(F.regexp_replace(t, r"(?s)<[^>]+>", " ")))
+
+
+def unescaped(x: Column) -> Column:
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: unescape(t) if t and "&" in t else t)
+
+    return F.pandas_udf(run, "string")(x)
 
 
 def links(html: Column) -> Column:
     """The targets of the anchors, in order."""
     return F.regexp_extract_all(html, F.lit(r"(?i)<a\s[^>]*?href=\"([^\"]*)\""), 1)
+
+
+class Anchors(HTMLParser):
+    """Anchors of a page: target joined to the page's address, and text, a picture's alternative text or title counting as text."""
+
+    def __init__(self, base: str):
+        super().__init__(convert_charrefs=True)
+        self.base, self.found, self.open = base, [], None
+
+    def handle_starttag(self, tag, attrs):
+        own = dict(attrs)
+        if tag == "a" and own.get("href"):
+            self.handle_endtag("a")
+            self.open = (urljoin(self.base, own["href"].strip()), [own.get("title") or ""])
+        elif tag == "img" and self.open:
+            self.open[1].append(own.get("alt") or own.get("title") or "")
+
+    handle_startendtag = handle_starttag
+
+    def handle_data(self, data):
+        if self.open:
+            self.open[1].append(data)
+
+    def handle_endtag(self, tag):
+        if tag == "a" and self.open:
+            url, (title, *parts) = self.open
+            self.found.append({"url": url, "text": " ".join(" ".join(parts).split()) or title})
+            self.open = None
+
+
+def anchors(html: Column, base: Column) -> Column:
+    """Array of url and text of all anchors with a target, in order; an anchor without text goes by its title."""
+
+    def run(pages: pd.Series, bases: pd.Series) -> pd.Series:
+        out = []
+        for page, own in zip(pages, bases):
+            a = Anchors(own or "")
+            a.feed(page or "")
+            a.handle_endtag("a")
+            out.append(a.found)
+        return pd.Series(out)
+
+    return F.pandas_udf(run, "array<struct<url:string,text:string>>")(html, base)

@@ -5,17 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from castellan.functions.text import normalize_space
+
 # Fixed values.
 RESULTS = ("1-0", "0-1", "1/2-1/2", "0-0", "*")
-TERMINATIONS = {"normal": "normal", "time forfeit": "time-forfeit", "abandoned": "abandoned", "adjudication": "adjudication", "rules infraction": "rules-infraction", "unterminated": "unterminated"}
-FORMATS = ("swiss", "round-robin", "knockout", "match", "team", "simul", "other", "unknown")
-FORMAT_HINTS = (("schweizer", "swiss"), ("swiss", "swiss"), ("rundenturnier", "round-robin"), ("round robin", "round-robin"), ("match", "match"), ("team", "team"))
+TERMINATIONS = {"normal": "normal", "time forfeit": "timeout", "abandoned": "abandoned", "adjudication": "adjudication", "rules infraction": "forfeit", "unterminated": "unknown"}
+FORMATS = ("round-robin", "swiss", "match", "team", "knockout", "scheveningen", "other", "unknown")
+FORMAT_HINTS = (("schweizer", "swiss"), ("swiss", "swiss"), ("rundenturnier", "round-robin"), ("round robin", "round-robin"), ("round-robin", "round-robin"), ("match", "match"), ("team", "team"))
+CADENCE_VALUES = ("classical", "rapid", "blitz", "bullet", "correspondence", "mixed", "unknown")
+RATING_SYSTEMS = ("fide", "uscf", "ecf", "national", "online", "edo", "chessmetrics", "combined", "none", "unknown")
 CADENCES = (("blitz", ("blitz", "блиц")), ("rapid", ("rapid", "рапид", "rapide")), ("bullet", ("bullet",)), ("classical", ("classical", "классика", "standard")))
 
 
 def event_format(raw: Column) -> Column:
     """The enumerated format, else the first hint that the text contains, else unknown."""
-    f = F.lower(F.trim(raw))
+    f = F.lower(normalize_space(raw))
     out = F.when(f.isin(*FORMATS), f)
     for hint, name in FORMAT_HINTS:
         out = out.when(f.contains(hint), name)
@@ -32,6 +36,17 @@ def cadence(text: Column) -> Column:
     return out
 
 
+def event_cadence(stated: Column, text: Column) -> Column:
+    """The stated cadence if it is one, else what the text says, else nothing."""
+    value = normalize_space(F.coalesce(stated, F.lit("")))
+    return F.when(value.isin(*CADENCE_VALUES), value).otherwise(F.coalesce(cadence(text), F.lit("")))
+
+
+def rating_system(raw: Column) -> Column:
+    value = normalize_space(F.coalesce(raw, F.lit("")))
+    return F.when(value.isin(*RATING_SYSTEMS), value).otherwise("unknown")
+
+
 def game_result(raw: Column) -> Column:
     return F.when(raw.isin(*RESULTS), raw).otherwise("*")
 

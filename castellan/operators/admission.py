@@ -40,11 +40,13 @@ def rating_profile(rows: DataFrame, keys: list[str], rating: str, threshold: int
 
 
 GATES = {
-    "strict_all_players": lambda t: F.col("below") == 0, "avg_all": lambda t: F.col("avg_all") >= t, "avg_rated": lambda t: F.col("avg_rated") >= t, "top_avg": lambda t: F.col("top_avg") >= t,
-    "max_rating": lambda t: F.col("max_rating") >= t, "median_rated": lambda t: F.col("median_rated") >= t, "strong_count": lambda t: F.col("strong") >= t,
+    "strict_all_players": lambda t: F.col("below") == 0, "avg_all": lambda t: F.col("avg_all") >= t, "avg_rated": lambda t: (F.col("rated") > 0) & (F.col("avg_rated") >= t), "top_avg": lambda t: (F.col("rated") > 0) & (F.col("top_avg") >= t),
+    "max_rating": lambda t: F.col("max_rating") >= t, "strong_count": lambda t: F.col("strong") >= t, "html_tour_avg": lambda t: F.col("html_avg") >= t,
 }
 
 
 def gate(profile: DataFrame, name: str, threshold: float) -> DataFrame:
-    """A rating profile with the verdict of one of GATES in column passes; strong_count takes a number of players."""
-    return profile.withColumn("passes", GATES[name](threshold))
+    """A rating profile with the verdict of one of GATES in column passes; strong_count takes a number of players. A group without players, or without
+    what the gate asks for, does not pass. html_tour_avg reads html_avg, the mean of the tournament's page (pages.rating_mean)."""
+    usable = F.lit(True) if name == "html_tour_avg" else F.col("total") > 0
+    return profile.withColumn("passes", F.coalesce(usable & GATES[name](threshold), F.lit(False)))

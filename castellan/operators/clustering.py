@@ -5,10 +5,10 @@ from __future__ import annotations
 from difflib import SequenceMatcher
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from castellan.functions.text import token_jaccard
+from castellan.functions.text import name_key, token_jaccard
 from castellan.workspace import drop_kept, keep
 
 
@@ -47,20 +47,71 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def linked_facts(facts: DataFrame, most_in_block: int | None = 400) -> DataFrame:
-    """a, b: records of one year and first key word that are one tournament.
+    """a, b: records that are one tournament.
 
-    facts: idx, event_ref, year, month, key, roster (array). An equal event reference links and a differing one does not; else months
-    at most one apart, and a similarity of 0.94, or of 0.62 with half of the smaller roster shared. Blocks of over most_in_block records are
-    left out, as a rule of the operation; None takes them all."""
+    facts: idx, event_ref, year, month, key, roster (array). Records of one event reference are linked to the first of them, whatever their year or
+    name; one with a reference is never linked to one without or of another. The others are compared within a year and first key word:
+    months at most one apart, and a similarity of 0.94, or of 0.62 with half of the smaller roster shared. Blocks of over most_in_block
+    records are not compared, as a rule of the operation; None compares them all. Only pairs whose bounds can reach what they need
+    are matched letter by letter."""
+    ref = F.coalesce(F.col("event_ref"), F.lit(""))
+    sure = facts.filter(ref != "")
+    stars = sure.join(sure.groupBy("event_ref").agg(F.min("idx").alias("a")), "event_ref").filter("a <> idx").select("a", F.col("idx").alias("b"))
     f = facts.withColumn("block", F.split_part("key", F.lit(" "), F.lit(1)))
     if most_in_block is not None:
         sizes = f.groupBy("year", "block").agg(F.count("*").alias("n")).filter(F.col("n") <= most_in_block).drop("n")
         f = f.join(sizes, ["year", "block"], "left_semi")
+    f = f.filter(ref == "")
     x, y = f.alias("x"), f.alias("y")
     j = x.join(y, (F.col("x.year") == F.col("y.year")) & (F.col("x.block") == F.col("y.block")) & (F.col("x.idx") < F.col("y.idx")))
-    ref = lambda s: F.coalesce(F.col(f"{s}.event_ref"), F.lit(""))
-    j = j.filter((ref("x") == ref("y")) & (F.col("x.month").isNull() | F.col("y.month").isNull() | (F.abs(F.col("x.month") - F.col("y.month")) <= 1)) | ((ref("x") == ref("y")) & (ref("x") != "")))
+    known = lambda s: F.coalesce(F.col(f"{s}.month"), F.lit(0))
+    j = j.filter((known("x") == 0) | (known("y") == 0) | (F.abs(known("x") - known("y")) <= 1))
     shared = F.coalesce(F.size(F.array_intersect("x.roster", "y.roster")) / F.nullif(F.least(F.size("x.roster"), F.size("y.roster")), F.lit(0)), F.lit(0.0))
-    j = j.select(F.col("x.idx").alias("a"), F.col("y.idx").alias("b"), (ref("x") != "").alias("sure"), shared.alias("shared"), F.col("x.key").alias("k"), F.col("y.key").alias("l"))
-    sim = similarity(F.col("k"), F.col("l"))
-    return j.withColumn("s", sim).filter("sure or s >= 0.94 or (shared >= 0.5 and s >= 0.62)").select("a", "b")
+    j = j.select(F.col("x.idx").alias("a"), F.col("y.idx").alias("b"), F.when(shared >= 0.5, 0.62).otherwise(0.94).alias("needed"), F.col("x.key").alias("k"), F.col("y.key").alias("l"))
+    # the matcher's ratio is at most twice the shorter length over both; pairs that cannot reach what they need go first
+    bound = 0.65 * 2 * F.least(F.length("k"), F.length("l")) / F.nullif(F.length("k") + F.length("l"), F.lit(0)) + 0.35 * token_jaccard(F.col("k"), F.col("l"))
+    j = j.filter(bound >= F.col("needed") - 1e-9)
+    return j.withColumn("s", similarity(F.col("k"), F.col("l"))).filter("s >= needed").select("a", "b").unionByName(stars)
+
+
+#: Which source of a tournament is trusted first.
+SOURCE_PRIORITY = {"chess-results": 100, "twic": 90, "edo": 80, "nwchess-minev": 70, "olimpbase": 60}
+
+
+def trust(source: Column) -> Column:
+    out = F.lit(0)
+    for name, rank in SOURCE_PRIORITY.items():
+        out = F.when(source == name, rank).otherwise(out)
+    return out
+
+
+def clusters(facts: DataFrame, links: DataFrame) -> DataFrame:
+    """idx, cluster (the least idx of its records), cluster_id (cluster-000001 for the largest, then by year and name) of every record.
+
+    facts: idx, year, name."""
+    member = components(links)
+    of = facts.select("idx", "year", "name").join(member, facts["idx"] == member["node"], "left").withColumn("cluster", F.coalesce("root", "idx"))
+    heads = of.groupBy("cluster").agg(F.count("*").alias("size"), F.min_by("year", "idx").alias("year"), F.min_by("name", "idx").alias("name"))
+    heads = heads.withColumn("cluster_id", F.format_string("cluster-%06d", F.row_number().over(Window.orderBy(F.desc("size"), "year", "name", "cluster"))))
+    return of.select("idx", "cluster").join(heads.select("cluster", "cluster_id", "size"), "cluster").select("idx", "cluster", "cluster_id", "size")
+
+
+def best_facts(facts: DataFrame, member: DataFrame) -> DataFrame:
+    """cluster and idx of its best record: by source, then participants, those with a federation's id, and those rated; the first of equals."""
+    has_id = F.size(F.filter("participants", lambda p: (F.coalesce(p["fide_id"], F.lit("")) != "") | F.coalesce(p["ref"], F.lit("")).startswith("player:fide:")))
+    rated = F.size(F.filter("participants", lambda p: p["rating"].isNotNull()))
+    rank = F.struct(trust(F.col("source")).alias("t"), F.size("participants").alias("n"), has_id.alias("i"), rated.alias("r"), (-F.col("idx")).alias("o"))
+    return facts.join(member.select("idx", "cluster"), "idx").groupBy("cluster").agg(F.max_by("idx", rank).alias("idx"))
+
+
+def merged_players(facts: DataFrame, member: DataFrame) -> DataFrame:
+    """cluster and players of each cluster: one for each reference (or name and federation), every field from the most trusted record that has it,
+    by rank (none last), then name."""
+    fields = ("ref", "name", "fed", "title", "fide_id", "rating", "score", "rank")
+    p = facts.join(member.select("idx", "cluster"), "idx").select("cluster", "idx", trust(F.col("source")).alias("t"), F.posexplode("participants").alias("pos", "p"))
+    key = F.coalesce(F.nullif(F.col("p.ref"), F.lit("")), F.concat_ws("|", name_key(F.col("p.name")), F.coalesce("p.fed", F.lit(""))))
+    order = F.struct(-F.col("t"), "idx", "pos")
+    first = [F.min_by(f"p.{f}", F.when(F.coalesce(F.col(f"p.{f}").cast("string"), F.lit("")) != "", order)).alias(f) for f in fields]
+    one = p.withColumn("key", key).groupBy("cluster", "key").agg(*first)
+    listed = F.array_sort(F.collect_list(F.struct(F.col("rank").isNull().alias("none"), F.coalesce(F.nullif("rank", F.lit(0)), F.lit(9999)).alias("at"), F.col("name").alias("by"), "key", F.struct(*fields).alias("player"))))
+    return one.groupBy("cluster").agg(F.transform(listed, lambda x: x["player"]).alias("players"))

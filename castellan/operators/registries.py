@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from unicodedata import normalize
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,14 +31,17 @@ def merge_players(records: DataFrame) -> DataFrame:
     """One player for each FIDE id; records without one pass through.
 
     records: fide_id, line, name, titles (array), female, birth_year, federation, rated_months, aliases (array). The name is that of the first
-    record, the federation that of the record of most rated months, the birth year the first known one; titles and aliases are united in
-    order, without the name itself."""
+    record, the federation that of the record of most rated months (the first of equals), the birth year the first known one; titles are
+    united in order, and so are the aliases: each later record's own name, then those it lists, without the name that is kept."""
+    first = F.min("line").over(Window.partitionBy("fide_id"))
+    spelled = F.when(F.col("line") == first, F.col("aliases")).otherwise(F.concat(F.array("name"), F.col("aliases")))
+    records = records.withColumn("aliases", F.when(F.col("fide_id").isNotNull(), spelled).otherwise(F.col("aliases")))
     by = F.struct("line")
     g = records.filter(F.col("fide_id").isNotNull()).groupBy("fide_id").agg(
         F.min("line").alias("line"), F.min_by("name", by).alias("name"), ordered_distinct("titles", ["line"]).alias("titles"), F.bool_or("female").alias("female"),
         F.min_by("birth_year", F.when(F.col("birth_year").isNotNull(), F.col("line"))).alias("birth_year"), F.max_by("federation", F.when(F.col("federation") != "", F.struct("rated_months", -F.col("line")))).alias("federation"),
         F.max("rated_months").alias("rated_months"), ordered_distinct("aliases", ["line"]).alias("aliases"))
-    g = g.withColumn("aliases", F.filter("aliases", lambda a: a != F.col("name")))
+    g = g.withColumn("aliases", F.filter("aliases", lambda a: (a != "") & (a != F.col("name"))))
     return g.select(records.columns).unionByName(records.filter(F.col("fide_id").isNull()))
 
 
@@ -71,19 +77,32 @@ def occurrences(records: DataFrame) -> DataFrame:
 
 
 def canonical_entries(names: DataFrame, section: str = "EVENT") -> tuple[DataFrame, DataFrame]:
-    """Entries (canonical, aliases) and diagnostics (alias, problem) of names: canonical, alias, priority.
-
-    Canonical spellings of one key become one, that of least priority, folded name and name; an alias that several claim or that is
-    another's canonical name is dropped with a diagnostic."""
-    keyed = names.withColumn("ckey", spelling_key(F.col("canonical"), section)).withColumn("akey", spelling_key(F.col("alias"), section))
-    shown = keyed.groupBy("ckey").agg(F.min_by("canonical", F.struct("priority", F.lower("canonical").alias("f"), F.col("canonical").alias("raw"))).alias("canonical"))
-    claims = keyed.filter("alias is not null and akey <> ckey").groupBy("akey").agg(F.count_distinct("ckey").alias("n"), F.min("ckey").alias("ckey"), F.min("alias").alias("alias"))
-    shadowing = claims.join(shown.select(F.col("ckey").alias("akey")), "akey", "left_semi").select("alias", F.lit("is a canonical name").alias("problem"))
-    rest = claims.join(shown.select(F.col("ckey").alias("akey")), "akey", "left_anti")
-    ambiguous = rest.filter("n > 1").select("alias", F.lit("several targets").alias("problem"))
-    good = rest.filter("n = 1").groupBy("ckey").agg(F.array_sort(F.collect_list("alias")).alias("aliases"))
-    entries = shown.join(good, "ckey", "left").select("canonical", F.coalesce("aliases", F.array().cast("array<string>")).alias("aliases"))
-    return entries, shadowing.unionByName(ambiguous)
+    """Entries (canonical, aliases) and diagnostics (name, problem) of names: canonical, alias, priority.
+
+    Canonical spellings of one key become one entry under the spelling of least priority, folded name and name; its other spellings, and those of an
+    alias of the same key, are aliases. So is every spelling of another key, unless several entries claim the key or it is another's own.
+    Names that the line format cannot hold go to the diagnostics."""
+    problem = lambda c: F.when(F.col(c).isNotNull(), text.name_problem(text.normalize_space(F.col(c))))
+    n = names.withColumns({"canonical": text.normalize_space(F.col("canonical")), "alias": text.normalize_space(F.col("alias"))}).withColumns({"cp": problem("canonical"), "ap": problem("alias")})
+    n = n.withColumns({"ckey": spelling_key(F.col("canonical"), section), "akey": spelling_key(F.col("alias"), section)})
+    unusable = n.filter("cp is not null").select(F.col("canonical").alias("name"), F.col("cp").alias("problem"))
+    unusable = unusable.unionByName(n.filter("cp is null and ap is not null").select(F.col("alias").alias("name"), F.col("ap").alias("problem")))
+    unusable = unusable.unionByName(n.filter("cp is null and ckey = ''").select(F.col("canonical").alias("name"), F.lit("nothing but marks").alias("problem")))
+    good = n.filter("cp is null and canonical is not null and ckey <> ''")
+    shown = good.groupBy("ckey").agg(F.min_by("canonical", F.struct("priority", F.lower("canonical").alias("f"), F.col("canonical").alias("raw"))).alias("canonical"))
+    aliased = good.filter("alias is not null and ap is null").withColumn("own", (F.col("akey") == "") | (F.col("akey") == F.col("ckey")))
+    spellings = good.select("ckey", F.col("canonical").alias("alias")).unionByName(aliased.filter("own").select("ckey", "alias"))
+    claims = aliased.filter("not own").groupBy("akey").agg(F.count_distinct("ckey").alias("claims"))
+    claimed = aliased.filter("not own").select("ckey", "akey", "alias").distinct().join(claims, "akey").join(shown.select(F.col("ckey").alias("akey"), F.lit(True).alias("heads")), "akey", "left")
+    verdict = F.when(F.col("claims") > 1, "several targets").when(F.col("heads"), "is a canonical name")
+    claimed = claimed.withColumn("problem", verdict)
+    first = F.min_by("alias", F.struct(F.lower("alias").alias("f"), "alias")).alias("name")
+    refused = claimed.filter("problem is not null").groupBy("ckey", "akey", "problem").agg(first).select("name", "problem")
+    kept = spellings.unionByName(claimed.filter("problem is null").select("ckey", "alias")).distinct()
+    sorted_aliases = F.transform(F.array_sort(F.collect_list(F.struct(F.lower("alias").alias("f"), "alias"))), lambda x: x["alias"])
+    entries = shown.join(kept, "ckey").filter("alias <> canonical").groupBy("ckey").agg(sorted_aliases.alias("aliases"))
+    entries = shown.join(entries, "ckey", "left").select("canonical", F.coalesce("aliases", F.array().cast("array<string>")).alias("aliases"))
+    return entries, unusable.unionByName(refused).distinct()
 
 
 #: Characters that do not tell spellings apart, by section.
@@ -91,7 +110,17 @@ IGNORED = {"SITE": "., -_()", "EVENT": ",. -_", "ROUND": ""}
 
 
 def spelling_key(name: Column, section: str = "EVENT") -> Column:
-    return F.translate(F.lower(name), IGNORED[section], "")
+    """NFC, folded case and single blanks, without the characters that the section ignores."""
+    return F.translate(folded(text.normalize_space(name)), IGNORED[section], "")
+
+
+def folded(x: Column) -> Column:
+    """Composed letters with their case folded, in Arrow batches: Spark has neither."""
+
+    def run(names: pd.Series) -> pd.Series:
+        return names.map(lambda n: normalize("NFC", n).casefold() if n else n)
+
+    return F.pandas_udf(run, "string")(x)
 
 
 def section_problems(entries: DataFrame) -> DataFrame:
@@ -119,7 +148,11 @@ def expand_frontier(links: DataFrame, seeds: DataFrame, rounds: int) -> DataFram
 
 
 def unique_names(docs: DataFrame, base: str, order: str, longest: int = 150) -> DataFrame:
-    """docs with file_name: base cut to longest characters, -2, -3, ... behind repeats of the cut name, so that no two files meet."""
-    cut = F.substring(F.col(base), 1, longest)
-    n = F.row_number().over(Window.partitionBy("_cut").orderBy(order))
-    return docs.withColumn("_cut", cut).withColumn("file_name", F.when(n == 1, F.col("_cut")).otherwise(F.concat("_cut", F.lit("-"), n))).drop("_cut")
+    """docs with file_name: base cut to longest characters, with -2, -3, ... behind repeats of the whole base.
+
+    Where such names still meet (of a, a, a-2, or of long bases that differ behind the cut), all but the first get a hash of their base and order."""
+    n = F.row_number().over(Window.partitionBy(base).orderBy(order))
+    named = docs.withColumn("_n", n).withColumn("file_name", F.concat(F.substring(F.col(base), 1, longest), F.when(F.col("_n") > 1, F.concat(F.lit("-"), "_n")).otherwise("")))
+    again = F.row_number().over(Window.partitionBy("file_name").orderBy(order))
+    mark = F.concat(F.lit("-"), F.substring(F.sha1(F.concat_ws("|", base, F.col(order).cast("string"))), 1, 10))
+    return named.withColumn("_again", again).withColumn("file_name", F.when(F.col("_again") == 1, F.col("file_name")).otherwise(F.concat("file_name", mark))).drop("_n", "_again")

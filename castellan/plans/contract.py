@@ -52,12 +52,12 @@ def floor_admission(spark, sf_dir):
     SELECT z.l_suppkey, count(*) AS total, count(*) FILTER (q > 0) AS rated, count(*) FILTER (q <= 0) AS unrated, min(q) AS min_all, min(q) FILTER (q > 0) AS min_rated, max(q) AS max_rating,
       round(avg(q), 6) AS avg_all, round(avg(q) FILTER (q > 0), 6) AS avg_rated, coalesce(median(q) FILTER (q > 0), 0.0) AS median_rated, count(*) FILTER (q >= 40) AS strong, count(*) FILTER (q < 3) AS below,
       coalesce(round(any_value(t), 6), 0.0) AS top_avg, count(*) FILTER (q < 3) = 0 AS strict_all_players, round(avg(q), 6) >= 21 AS by_avg_all, round(avg(q) FILTER (q > 0), 6) >= 23 AS by_avg_rated,
-      coalesce(round(any_value(t), 6), 0.0) >= 44 AS by_top_avg, max(q) >= 45 AS by_max, coalesce(median(q) FILTER (q > 0), 0.0) >= 22 AS by_median, count(*) FILTER (q >= 40) >= 6 AS by_strong
+      coalesce(round(any_value(t), 6), 0.0) >= 44 AS by_top_avg, max(q) >= 45 AS by_max, count(*) FILTER (q >= 40) >= 6 AS by_strong
     FROM z LEFT JOIN top ON z.l_suppkey = top.l_suppkey GROUP BY z.l_suppkey""")
 def floor_variants(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").select("l_suppkey", F.greatest(F.col("l_quantity").cast("int") - 5, F.lit(0)).alias("q"))
     p = admission.rating_profile(rows, ["l_suppkey"], "q", 3, 40)
-    for name, out, threshold in (("strict_all_players", "strict_all_players", 0), ("avg_all", "by_avg_all", 21), ("avg_rated", "by_avg_rated", 23), ("top_avg", "by_top_avg", 44), ("max_rating", "by_max", 45), ("median_rated", "by_median", 22), ("strong_count", "by_strong", 6)):
+    for name, out, threshold in (("strict_all_players", "strict_all_players", 0), ("avg_all", "by_avg_all", 21), ("avg_rated", "by_avg_rated", 23), ("top_avg", "by_top_avg", 44), ("max_rating", "by_max", 45), ("strong_count", "by_strong", 6)):
         p = admission.gate(p, name, threshold).withColumnRenamed("passes", out)
     return p
 
@@ -122,9 +122,9 @@ def split_name(spark, sf_dir):
 
 @query("title_tokens", """
     SELECT p_partkey, array_to_string(list_filter(string_split(t, '+'), lambda x: x IN ('GM', 'IM', 'FM', 'CM', 'WGM', 'WIM', 'WFM', 'WCM', 'NM')), '+') AS titles, len(list_filter(string_split(t, '+'), lambda x: x LIKE 'W%')) > 0 AS female
-    FROM (SELECT p_partkey, CASE p_size % 5 WHEN 0 THEN 'GM+WGM' WHEN 1 THEN '-' WHEN 2 THEN 'W' WHEN 3 THEN 'IM+XX' ELSE 'WC+FM' END AS t FROM part)""")
+    FROM (SELECT p_partkey, CASE p_size % 5 WHEN 0 THEN 'GM+WGM+gm' WHEN 1 THEN '-' WHEN 2 THEN 'w+im+Wx' WHEN 3 THEN 'IM+XX+fm' ELSE 'WC+FM+gm' END AS t FROM part)""")
 def title_tokens(spark, sf_dir):
-    t = names.title_tokens(F.expr("CASE p_size % 5 WHEN 0 THEN 'GM+WGM+gm' WHEN 1 THEN '-' WHEN 2 THEN 'w' WHEN 3 THEN 'im+xx' ELSE 'WC+FM' END"))
+    t = names.title_tokens(F.expr("CASE p_size % 5 WHEN 0 THEN 'GM+WGM+gm' WHEN 1 THEN '-' WHEN 2 THEN 'w+im+Wx' WHEN 3 THEN 'IM+XX+fm' ELSE 'WC+FM+gm' END"))
     return table(spark, sf_dir, "part").select("p_partkey", t.alias("t")).select("p_partkey", F.array_join("t.titles", "+").alias("titles"), "t.female")
 
 
@@ -133,10 +133,10 @@ def federation(spark, sf_dir):
     return table(spark, sf_dir, "supplier").select("s_suppkey", names.normalize_federation(F.expr("substr(s_name, 1, 3 + cast(s_suppkey % 2 as int))")).alias("federation"))
 
 
-@query("event_format", """SELECT doc_id, CASE WHEN lower(t) LIKE '%schweizer%' OR lower(t) LIKE '%swiss%' THEN 'swiss' WHEN lower(t) LIKE '%rundenturnier%' OR lower(t) LIKE '%round robin%' THEN 'round-robin' WHEN lower(t) LIKE '%match%' THEN 'match' WHEN lower(t) LIKE '%team%' THEN 'team' ELSE 'unknown' END AS format
-    FROM (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'Swiss ' ELSE '' END || text || CASE doc_id % 3 WHEN 0 THEN ' Match' ELSE '' END AS t FROM documents)""")
+@query("event_format", """SELECT doc_id, CASE WHEN lower(trim(t)) IN ('round-robin', 'swiss', 'match', 'team', 'knockout', 'scheveningen', 'other', 'unknown') THEN lower(trim(t)) WHEN lower(t) LIKE '%schweizer%' OR lower(t) LIKE '%swiss%' THEN 'swiss' WHEN lower(t) LIKE '%rundenturnier%' OR lower(t) LIKE '%round robin%' OR lower(t) LIKE '%round-robin%' THEN 'round-robin' WHEN lower(t) LIKE '%match%' THEN 'match' WHEN lower(t) LIKE '%team%' THEN 'team' ELSE 'unknown' END AS format
+    FROM (SELECT doc_id, CASE doc_id % 8 WHEN 0 THEN 'Swiss ' || text WHEN 1 THEN ' Scheveningen ' WHEN 2 THEN 'simul' WHEN 3 THEN 'Round-Robin ' || text WHEN 4 THEN 'OTHER' ELSE text || CASE doc_id % 3 WHEN 0 THEN ' Match' ELSE '' END END AS t FROM documents)""")
 def event_format(spark, sf_dir):
-    t = F.expr("CASE doc_id % 4 WHEN 0 THEN 'Swiss ' ELSE '' END || text || CASE doc_id % 3 WHEN 0 THEN ' Match' ELSE '' END")
+    t = F.expr("CASE doc_id % 8 WHEN 0 THEN 'Swiss ' || text WHEN 1 THEN ' Scheveningen ' WHEN 2 THEN 'simul' WHEN 3 THEN 'Round-Robin ' || text WHEN 4 THEN 'OTHER' ELSE text || CASE doc_id % 3 WHEN 0 THEN ' Match' ELSE '' END END")
     return table(spark, sf_dir, "documents").select("doc_id", vocabulary.event_format(t).alias("format"))
 
 
@@ -152,12 +152,12 @@ def ids(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", names.is_valid_fide_id((F.col("o_orderkey") * 37).cast("string")).alias("valid_fide"))
 
 
-@query("results_terminations", """SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN '1-0' WHEN 1 THEN '1/2-1/2' ELSE '*' END AS result, CASE o_orderkey % 3 WHEN 0 THEN 'time-forfeit' WHEN 1 THEN 'normal' END AS termination,
+@query("results_terminations", """SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN '1-0' WHEN 1 THEN '1/2-1/2' ELSE '*' END AS result, CASE o_orderkey % 7 WHEN 0 THEN 'timeout' WHEN 1 THEN 'normal' WHEN 2 THEN 'forfeit' WHEN 3 THEN 'unknown' WHEN 4 THEN 'adjudication' END AS termination,
     CASE WHEN o_orderkey % 2 = 0 THEN 'B' || CAST(10 + o_orderkey % 80 AS VARCHAR) END AS eco, CASE WHEN o_orderkey % 2 = 0 THEN CAST(2000 + o_orderkey % 80 AS INT) END AS elo FROM orders""")
 def results_terminations(spark, sf_dir):
     k = F.col("o_orderkey")
     return table(spark, sf_dir, "orders").select(
-        "o_orderkey", vocabulary.game_result(F.expr("CASE o_orderkey % 4 WHEN 0 THEN '1-0' WHEN 1 THEN '1/2-1/2' WHEN 2 THEN '2-0' END")).alias("result"), vocabulary.termination(F.expr("CASE o_orderkey % 3 WHEN 0 THEN ' Time Forfeit' WHEN 1 THEN 'normal' ELSE 'death' END")).alias("termination"),
+        "o_orderkey", vocabulary.game_result(F.expr("CASE o_orderkey % 4 WHEN 0 THEN '1-0' WHEN 1 THEN '1/2-1/2' WHEN 2 THEN '2-0' END")).alias("result"), vocabulary.termination(F.expr("CASE o_orderkey % 7 WHEN 0 THEN ' Time Forfeit' WHEN 1 THEN 'normal' WHEN 2 THEN 'Rules infraction' WHEN 3 THEN 'unterminated ' WHEN 4 THEN 'ADJUDICATION' WHEN 5 THEN 'death' END")).alias("termination"),
         vocabulary.eco_code(F.concat(F.when(k % 2 == 0, "B").otherwise("F"), (10 + k % 80).cast("string"))).alias("eco"), vocabulary.elo(F.concat((2000 + k % 80).cast("string"), F.when(k % 2 == 0, " ").otherwise("?"))).alias("elo"))
 
 
@@ -369,10 +369,10 @@ def fact_clusters(spark, sf_dir):
     return clustering.components(clustering.linked_facts(facts))
 
 
-@query("connected_components", """WITH RECURSIVE e AS (SELECT o_custkey AS x, o_custkey + 7 AS y FROM orders WHERE o_orderkey % 3 = 0 AND o_custkey % 5 <> 0), d AS (SELECT DISTINCT x, y FROM (SELECT x, y FROM e UNION ALL SELECT y, x FROM e)),
+@query("connected_components", """WITH RECURSIVE e AS (SELECT DISTINCT o_custkey AS x, o_custkey + 7 AS y FROM orders), d AS (SELECT DISTINCT x, y FROM (SELECT x, y FROM e UNION ALL SELECT y, x FROM e)),
     r AS (SELECT DISTINCT x, x AS root FROM d UNION SELECT d.y, r.root FROM r JOIN d ON d.x = r.x WHERE r.root < d.y) SELECT x AS node, min(root) AS root FROM r GROUP BY 1""")
 def connected_components(spark, sf_dir):
-    e = table(spark, sf_dir, "orders").filter("o_orderkey % 3 = 0 and o_custkey % 5 <> 0").select(F.col("o_custkey").alias("a"), (F.col("o_custkey") + 7).alias("b"))
+    e = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("a"), (F.col("o_custkey") + 7).alias("b"))
     return clustering.components(e)
 
 
@@ -387,12 +387,17 @@ def link_extract(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.explode(text.links(F.col("html"))).alias("href"))
 
 
-@query("canonical_url", r"SELECT page_id, 'https://' || regexp_extract(lower(url), '://([^/?#]*)', 1) || regexp_extract(url, '://[^/?#]*([^#]*)', 1) AS url FROM pages")
+@query("canonical_url", r"""SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'https://www.home.org' ELSE CASE WHEN page_id % 3 = 1 THEN 'http' ELSE regexp_extract(lower(url), '^([a-z]+)://', 1) END || '://' || regexp_extract(lower(url), '://([^/?#]*)', 1) END
+    || regexp_extract(url, '://[^/?#]*([^#?]*)', 1) || CASE WHEN page_id % 2 = 0 THEN '/x' ELSE '' END || regexp_extract(url, '[?][^#]*') AS url FROM pages""")
 def canonical_url(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", text.canonical_url(F.col("url")).alias("url"))
+    path, rest = F.regexp_extract("url", "://[^/?#]*([^#?]*)", 1), F.regexp_extract("url", "[?][^#]*", 0)
+    head = F.expr(r"CASE page_id % 3 WHEN 0 THEN 'HTTP://Home.ORG' WHEN 1 THEN 'http://' || upper(regexp_extract(url, '://([^/?#]*)', 1)) ELSE regexp_extract(url, '^[a-z]+://[^/?#]*', 0) END")
+    url = F.concat(head, path, F.when(F.col("page_id") % 2 == 0, "/x;params").otherwise(""), rest, F.lit("#part"))
+    return table(spark, sf_dir, "pages").select("page_id", text.canonical_url(url, {"home.org": "www.home.org"}).alias("url"))
 
 
-@query("html_text", r"""SELECT page_id, sha1(trim(regexp_replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(html, '(?is)<(script|style)[^>]*>.*?</(script|style)>', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'), '[\s\x{0B}\x{85}\p{Z}]+', ' ', 'g'))) AS body FROM pages""")
+@query("html_text", r"""SELECT page_id, sha1(trim(regexp_replace(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(html, '(?is)<(script.*?</script|style.*?</style)>', ' ', 'g'), '(?s)<[^>]+>', ' ', 'g'),
+    '&middot;', '·'), '&copy;', '©'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;?', '&', 'g'), '[\s\x{0B}\x{85}\p{Z}]+', ' ', 'g'))) AS body FROM pages""")
 def html_text(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.sha1(text.html_text(F.col("html"))).alias("body"))
 
@@ -515,15 +520,16 @@ def link_classify(spark, sf_dir):
     return link_extract(spark, sf_dir).select("page_id", "href", pages.link_kind(F.col("href")).alias("kind"))
 
 
-@query("crosstable_like", """SELECT page_id, html LIKE '%crosstable%' OR lower(html) LIKE '%cross table%' OR lower(html) LIKE '%crosstable%' OR lower(html) LIKE '%kreuztabelle%' OR lower(html) LIKE '%tabela%'
-    OR (lower(html) LIKE '%rank%' AND lower(html) LIKE '%name%' AND lower(html) LIKE '%pts%' AND lower(html) LIKE '%rtg%') AS crosstable FROM pages""")
+@query("crosstable_like", r"""SELECT page_id, regexp_matches(lower(t), 'final standings|## standings|crosstable|## the final group|stage:|round:') OR (lower(t) LIKE '%pos.%' AND lower(t) LIKE '%pts%' AND regexp_matches(lower(t), 'games|gms') AND regexp_matches(lower(t), ' 1 | 0 | ½ |1/2')) AS crosstable
+    FROM (SELECT page_id, html || CASE page_id % 6 WHEN 0 THEN ' Final Standings' WHEN 1 THEN ' Pos. Name Pts Games 1/2' WHEN 2 THEN ' Pos. Pts gms ' WHEN 3 THEN ' kreuztabelle' WHEN 4 THEN ' Round: 3' ELSE '' END AS t FROM pages)""")
 def crosstable_like(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", pages.looks_like_crosstable(F.col("html")).alias("crosstable"))
+    t = F.expr("html || CASE page_id % 6 WHEN 0 THEN ' Final Standings' WHEN 1 THEN ' Pos. Name Pts Games 1/2' WHEN 2 THEN ' Pos. Pts gms ' WHEN 3 THEN ' kreuztabelle' WHEN 4 THEN ' Round: 3' ELSE '' END")
+    return table(spark, sf_dir, "pages").select("page_id", pages.looks_like_crosstable(t).alias("crosstable"))
 
 
 @query("html_table_mean", "SELECT s_suppkey, CAST(floor((1000 + s_nationkey + 2000) / 2) AS BIGINT) AS mean FROM supplier")
 def html_table_mean(spark, sf_dir):
-    html = F.concat(F.lit('<p><table class="CRs1"><tr><th>No.</th><th>Rtg</th></tr><tr><td>1</td><td><b>'), (F.col("s_nationkey") + 1000).cast("string"), F.lit("</b></td></tr><tr><td>2</td><td>2000</td></tr><tr><td>3</td><td>0</td></tr></table>"))
+    html = F.concat(F.lit('<p><table class="CRs1"><tr><th>No.</th><th>RtgI</th></tr><tr><td>1</td><td><b>'), (F.col("s_nationkey") + 1000).cast("string"), F.lit("</b></td></tr><tr><td>2</td><td>2000</td></tr><tr><td>3</td><td>0</td></tr></table>"))
     return table(spark, sf_dir, "supplier").select("s_suppkey", pages.rating_mean(html).cast("bigint").alias("mean"))
 
 
@@ -561,12 +567,76 @@ def canonical_entries(spark, sf_dir):
     return registries.canonical_entries(n)[0].select("canonical", F.array_join("aliases", "|").alias("aliases"))
 
 
-@query("tournament_documents", "SELECT count(*) AS documents, count(DISTINCT l_orderkey) AS files FROM (SELECT l_orderkey FROM lineitem GROUP BY 1)")
+DOCUMENT_SQL = r"""
+    WITH p AS (SELECT l_orderkey AS k, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, 'Player, ' || l_partkey, l_quantity) AS n, l_linenumber AS rank, l_partkey AS part, l_quantity AS q, min(l_shipdate) OVER (PARTITION BY l_orderkey) AS day FROM lineitem),
+    x AS (SELECT *, 'y="' || year(day) || '" m="' || month(day) || '" d="' || day(day) || '" iso="' || strftime(day, '%Y-%m-%d') || '"' AS date FROM p),
+    b AS (SELECT k, any_value(date) AS date, any_value(day) AS day, string_agg('    <ctml:participant id="' || printf('p%04d', n) || '">
+      <ctml:playerRef ref="player:syn:' || substr(sha1('player, ' || part || '|USA'), 1, 16) || '">
+        <ctml:name display="Player, ' || part
+        || '">
+          <ctml:family>Player</ctml:family>
+          <ctml:given>' || part || '</ctml:given>
+        </ctml:name>
+        <ctml:federation>USA</ctml:federation>
+        <ctml:title>GM</ctml:title>
+        <ctml:ids>
+          <ctml:internalId>src-a:' || part
+        || '</ctml:internalId>
+        </ctml:ids>
+        <ctml:resolution method="unresolved" resolver="src-a"/>
+      </ctml:playerRef>
+      <ctml:ratingSnapshot system="fide" scope="standard">
+        <ctml:value>' || CAST(q AS BIGINT)
+        || '</ctml:value>
+        <ctml:asOf><ctml:day ' || date || '/></ctml:asOf>
+      </ctml:ratingSnapshot>
+      <ctml:seed>' || part || '</ctml:seed>
+      <ctml:score>' || CAST(q AS BIGINT) || '.25</ctml:score>
+      <ctml:notes>rank=' || rank || '</ctml:notes>
+    </ctml:participant>', '
+' ORDER BY n) AS people FROM x GROUP BY 1)
+    SELECT 't_src_a_' || k || '_' || strftime(day, '%Y%m%d') AS id, k || '-open-' || k AS file_name, sha1('<?xml version="1.0" encoding="UTF-8"?>
+<ctml:tournament xmlns:ctml="urn:ctml:2.0" ctmlVersion="2.0" id="t_src_a_' || k || '_' || strftime(day, '%Y%m%d') || '">
+  <ctml:header>
+    <ctml:name>Open &lt;' || k
+        || '&gt;</ctml:name>
+    <ctml:eventRef ref="event:' || k || '">
+      <ctml:name>Open &lt;' || k || '&gt;</ctml:name>
+    </ctml:eventRef>
+    <ctml:eventType>swiss</ctml:eventType>
+    <ctml:cadence>rapid</ctml:cadence>
+    <ctml:dates>
+      <ctml:start><ctml:day ' || date || '/></ctml:start>
+      <ctml:end><ctml:day ' || date
+        || '/></ctml:end>
+    </ctml:dates>
+    <ctml:placeRef ref="place:raw:' || substr(sha1('new york'), 1, 16) || '" kind="unknown">
+      <ctml:name>New York</ctml:name>
+      <ctml:country>USA</ctml:country>
+    </ctml:placeRef>
+  </ctml:header>
+  <ctml:participants>
+' || people
+        || '
+  </ctml:participants>
+  <ctml:notes>a rapid one</ctml:notes>
+  <ctml:source kind="src-a">
+    <ctml:note>ref=' || k || '</ctml:note>
+  </ctml:source>
+</ctml:tournament>
+') AS xml_sha1 FROM b
+"""
+
+
+@query("tournament_documents", DOCUMENT_SQL)
 def tournament_documents(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
-    player = F.struct(F.col("l_linenumber").cast("bigint").alias("rank"), F.concat(F.lit("Player, "), F.col("l_partkey").cast("string")).alias("name"), F.lit("g").alias("title"), F.lit("usa").alias("fed"), F.col("l_quantity").cast("bigint").alias("rating"), F.col("l_quantity").alias("score"), F.lit(None).cast("string").alias("fide_id"), F.lit("").alias("sex"), F.lit("").alias("club"), F.lit("").alias("ref"))
-    blank = {c: F.lit(None).cast("string").alias(c) for c in ("header", "end", "place", "cadence", "notes", "rating_system", "url", "source_path")}
+    text_of = lambda v: F.lit(v).cast("string")
+    player = F.struct(
+        F.col("l_linenumber").cast("bigint").alias("rank"), F.concat(F.lit("Player, "), F.col("l_partkey").cast("string")).alias("name"), F.col("l_quantity").cast("bigint").alias("rating"), (F.col("l_quantity").cast("bigint") + 0.25).cast("double").alias("score"), F.lit("g").alias("title"), F.lit(" usa").alias("fed"),
+        text_of(None).alias("fide_id"), F.col("l_partkey").cast("string").alias("seed"), text_of("x").alias("source_id"), text_of("").alias("sex"), text_of("").alias("club"), text_of("").alias("ref"))
     t = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(player)).alias("players"), F.min("l_shipdate").cast("date").cast("string").alias("start"))
-    t = t.select(F.col("l_orderkey").alias("ord"), F.concat(F.lit("Open "), F.col("l_orderkey").cast("string")).alias("event"), F.lit("swiss").alias("format"), F.lit("src").alias("source"), F.col("l_orderkey").cast("string").alias("ref"), "start", "players", *blank.values())
-    d = documents.tournament_documents(t)
-    return d.filter(F.col("xml").contains("</ctml:tournament>")).agg(F.count("*").alias("documents"), F.count_distinct("file_name").alias("files"))
+    k = F.col("l_orderkey").cast("string")
+    more = {"end": None, "place": " New  York", "country": "usa", "cadence": "fast", "notes": " a rapid one ", "rating_system": "fide", "url": None, "source_path": None, "classification": "individual", "reader": None, "format": "Swiss system", "source": "src-a"}
+    t = t.select(F.col("l_orderkey").alias("ord"), F.concat(F.lit("Open <"), k, F.lit(">")).alias("event"), k.alias("ref"), F.concat(F.lit("event:"), k).alias("event_ref"), "start", "players", *(text_of(v).alias(c) for c, v in more.items()))
+    return documents.tournament_documents(t).select("id", "file_name", F.sha1("xml").alias("xml_sha1"))
