@@ -9,10 +9,9 @@ import hashlib
 import re
 from collections.abc import Sequence
 
-from castellan.chess.position import PAWN_FROM, Position
+from castellan.chess.position import PAWN, PAWN_HITS, Position, squares
 
 KEYS = 781
-ORDER = "pPnNbBrRqQkK"
 
 
 def read_keys(text: str) -> list[int]:
@@ -28,21 +27,45 @@ def derived_keys(seed: int = 1) -> list[int]:
     return [int.from_bytes(hashlib.sha256(f"{seed}:{i}".encode()).digest()[:8], "big") for i in range(KEYS)]
 
 
-def position_hash(p: Position, keys: Sequence[int]) -> int:
-    """The exclusive or of a position's keys. An en passant file counts only if a pawn stands ready to take."""
+def placement(before: tuple[int, ...], after: tuple[int, ...], keys: Sequence[int]) -> int:
+    """The exclusive or of the keys of all pieces on squares that differ between two placements of twelve sets."""
     h = 0
-    for q, piece in enumerate(p.board):
-        if piece != " ":
-            h ^= keys[64 * ORDER.index(piece) + q]
-    for i, right in enumerate("KQkq"):
+    for i, (a, b) in enumerate(zip(before, after)):
+        for q in squares(a ^ b) if a != b else ():
+            h ^= keys[64 * i + q]
+    return h
+
+
+def by_key(p: Position) -> tuple[int, ...]:
+    """The twelve sets in the order of the keys: black, then white pawns, and so on by kind."""
+    white, black = p.sides
+    return tuple(k & side for k in p.kinds for side in (black, white))
+
+
+def state(p: Position, keys: Sequence[int]) -> int:
+    """Rights, side and en passant file. The file counts only if a pawn stands ready to take."""
+    h = keys[780] if p.white else 0
+    for i, right in enumerate("KQkq" if p.castling else ""):
         if right in p.castling:
             h ^= keys[768 + i]
-    if p.ep is not None and any(p.board[q] == ("P" if p.white else "p") for q in PAWN_FROM[0 if p.white else 1][p.ep]):
+    if p.ep is not None and PAWN_HITS[p.white][p.ep] & p.kinds[PAWN] & p.sides[not p.white]:
         h ^= keys[772 + p.ep % 8]
-    return h ^ keys[780] if p.white else h
+    return h
+
+
+def position_hash(p: Position, keys: Sequence[int]) -> int:
+    """The exclusive or of a position's keys."""
+    return placement((0,) * 12, by_key(p), keys) ^ state(p, keys)
 
 
 def fingerprints(positions: Sequence[Position], keys: Sequence[int]) -> tuple[str, str]:
-    """Of the whole trajectory, start included (this alone may dedup games), and of the final position."""
-    packed = [position_hash(p, keys).to_bytes(8, "big") for p in positions]
+    """Of the whole trajectory, start included (this alone may dedup games), and of the final position.
+
+    Only the squares that change from one position to the next are hashed anew."""
+    packed, before, h = [], (0,) * 12, 0
+    for p in positions:
+        now = by_key(p)
+        h ^= placement(before, now, keys)
+        before = now
+        packed.append((h ^ state(p, keys)).to_bytes(8, "big"))
     return hashlib.sha256(b"".join(packed)).hexdigest(), packed[-1].hex()

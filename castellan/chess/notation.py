@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterator
 
-from castellan.chess.position import Move, Position, square_name, square_of, uci
+from castellan.chess.position import FILES, PAWN, PIECES, Move, Position, square_of, squares, uci
 
 SAN = re.compile(r"^(?:(?P<castle>[O0]-[O0](?P<long>-[O0])?)|(?P<piece>[NBRQK])?(?P<file>[a-h])?(?P<rank>[1-8])?x?(?P<to>[a-h][1-8])(?:=?(?P<promotion>[NBRQ]))?)$")
 RESULTS = ("1-0", "0-1", "1/2-1/2", "*")
@@ -18,16 +19,21 @@ class SanError(ValueError):
 
 
 def resolve(position: Position, san: str) -> Move:
-    """The one legal move that a text names. Only moves that fit it are tried for legality."""
+    """The one legal move that a text names. Only the pieces of its kind that go to its square are tried for legality."""
     m = SAN.match(san.rstrip("+#!?"))
     if not m:
         raise SanError(f"not a move: {san}")
     if m["castle"]:
         home = 4 if position.white else 60
-        fits = [c for c in position.candidates() if c[0] == home and c[1] == home + (-2 if m["long"] else 2) and position.board[home] in "Kk"]
+        to = home + (-2 if m["long"] else 2)
+        fits = [(home, to, "")] if position.castles() >> to & 1 else []
     else:
-        kind, to, promotion = m["piece"] or "P", square_of(m["to"]), (m["promotion"] or "").lower()
-        fits = [c for c in position.candidates() if c[1] == to and c[2] == promotion and position.board[c[0]].upper() == kind and (not m["file"] or square_name(c[0])[0] == m["file"]) and (not m["rank"] or square_name(c[0])[1] == m["rank"])]
+        kind, to, promotion = PIECES.index(m["piece"] or "P"), square_of(m["to"]), (m["promotion"] or "").lower()
+        asked = (kind == PAWN and to // 8 in (0, 7)) == bool(promotion)
+        fits = [
+            (q, to, promotion) for q in squares(position.movers(kind, to) if asked else 0)
+            if (not m["file"] or FILES[q % 8] == m["file"]) and (not m["rank"] or q // 8 + 1 == int(m["rank"]))
+        ]
     legal = [c for c in fits if not position.after(c).in_check(position.white)]
     if len(legal) != 1:
         raise SanError(f"{'ambiguous' if legal else 'no legal move'}: {san}")
@@ -65,11 +71,17 @@ def parse_game(text: str) -> tuple[dict[str, str], list[str], str]:
     return tags, moves, result
 
 
+@functools.lru_cache(maxsize=1 << 14)
+def step(position: Position, san: str) -> tuple[str, Position]:
+    """A move and the position after it. Games share openings, so the latest answers are remembered, by position and text."""
+    move = resolve(position, san)
+    return uci(move), position.after(move)
+
+
 def play(sans: list[str], fen: str | None = None) -> Iterator[tuple[str, Position]]:
     """("", start), then each move and the position after it."""
     p = Position.from_fen(fen) if fen else Position.from_fen()
     yield "", p
     for san in sans:
-        move = resolve(p, san)
-        p = p.after(move)
-        yield uci(move), p
+        move, p = step(p, san)
+        yield move, p

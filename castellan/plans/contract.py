@@ -10,9 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from castellan.chess import hashing
-from castellan.chess.position import Position, perft
 from castellan.functions import dates, names, pages, text, vocabulary
-from castellan.operators import admission, checks, clustering, documents, merging, registries, sessions
+from castellan.operators import admission, checks, clustering, documents, merging, moves, registries, sessions
 from castellan.plans import culling
 from castellan.sources.games import headers, replayed
 
@@ -479,20 +478,33 @@ def skip_limit(spark, sf_dir):
 
 # Published move counts of the usual test positions.
 MOVE_COUNTS = (
-    ("rnbqkbnr/pppppppp/8/8/8/8/PPPPPPPP/RNBQKBNR w KQkq - 0 1", (20, 400, 8902)),
-    ("r3k2r/p1ppqpb1/bn2pnp1/3PN3/1p2P3/2N2Q1p/PPPBBPPP/R3K2R w KQkq - 0 1", (48, 2039)),
-    ("8/2p5/3p4/KP5r/1R3p1k/8/4P1P1/8 w - - 0 1", (14, 191, 2812)),
+    ("rnbqkbnr/pppppppp/8/8/8/8/PPPPPPPP/RNBQKBNR w KQkq - 0 1", (20, 400, 8902, 197281, 4865609)),
+    ("r3k2r/p1ppqpb1/bn2pnp1/3PN3/1p2P3/2N2Q1p/PPPBBPPP/R3K2R w KQkq - 0 1", (48, 2039, 97862, 4085603)),
+    ("8/2p5/3p4/KP5r/1R3p1k/8/4P1P1/8 w - - 0 1", (14, 191, 2812, 43238, 674624)),
     ("r3k2r/Pppp1ppp/1b3nbN/nP6/BBP1P3/q4N2/Pp1P2PP/R2Q1RK1 w kq - 0 1", (6, 264, 9467)),
-    ("rnbq1k1r/pp1Pbppp/2p5/8/2B5/8/PPP1NnPP/RNBQK2R w KQ - 1 8", (44, 1486)),
+    ("r2q1rk1/pP1p2pp/Q4n2/bbp1p3/Np6/1B3NBn/pPPP1PPP/R3K2R b KQ - 0 1", (6, 264, 9467)),
+    ("rnbq1k1r/pp1Pbppp/2p5/8/2B5/8/PPP1NnPP/RNBQK2R w KQ - 1 8", (44, 1486, 62379, 2103487)),
+    ("r4rk1/1pp1qppp/p1np1n2/2b1p1B1/2B1P1b1/P1NP1N2/1PP1QPPP/R4RK1 w - - 0 10", (46, 2079, 89890)),
 )
 COUNTED = [(fen, d + 1, n) for fen, counts in MOVE_COUNTS for d, n in enumerate(counts)]
 
 
-@query("perft_small", f"SELECT * FROM (VALUES {', '.join(f'({fen!r}, CAST({d} AS INT), CAST({n} AS BIGINT))' for fen, d, n in COUNTED)}) AS v(fen, depth, nodes)")
+def _counted(spark, deepest):
+    return spark.createDataFrame([(fen, d) for fen, d, n in COUNTED if n <= deepest], "fen string, depth int")
+
+
+def _counts_sql(deepest):
+    return f"SELECT * FROM (VALUES {', '.join(f'({fen!r}, CAST({d} AS INT), CAST({n} AS BIGINT))' for fen, d, n in COUNTED if n <= deepest)}) AS v(fen, depth, nodes)"
+
+
+@query("perft_small", _counts_sql(9467))
 def perft_small(spark, sf_dir):
-    count = F.pandas_udf(lambda fens, depths: fens.combine(depths, lambda f, d: perft(Position.from_fen(f), d)).astype("int64"), "bigint")
-    positions = spark.createDataFrame([(fen, d) for fen, d, _ in COUNTED], "fen string, depth int").repartition(8)
-    return positions.withColumn("nodes", count("fen", "depth"))
+    return moves.move_counts(_counted(spark, 9467), "fen", "depth")
+
+
+@query("perft_full", _counts_sql(10**7))
+def perft_full(spark, sf_dir):
+    return moves.move_counts(_counted(spark, 10**7), "fen", "depth")
 
 
 #: Public opening lines, and the moves they stand for.
@@ -502,14 +514,14 @@ LINES = (("e4 e5 Nf3 Nc6 Bb5 a6 Ba4 Nf6 O-O", "e2e4 e7e5 g1f3 b8c6 f1b5 a7a6 b5a
 @query("pgn_roundtrip", f"SELECT c_custkey, split_part(v.ucis, '|', 1) AS ucis FROM customer JOIN (VALUES {', '.join(f'({i}, {u!r})' for i, (_, u) in enumerate(LINES))}) AS v(i, ucis) ON c_custkey % 3 = v.i")
 def pgn_roundtrip(spark, sf_dir):
     game = F.concat(F.lit('[Event "x"]\n[White "'), F.col("c_name"), F.lit('"]\n\n1. '), F.element_at(F.array(*[F.lit(s) for s, _ in LINES]), (F.col("c_custkey") % 3 + 1).cast("int")), F.lit(" *"))
-    g = headers(replayed(table(spark, sf_dir, "customer").select("c_custkey", game.alias("game")), hashing.derived_keys()))
+    g = headers(replayed(table(spark, sf_dir, "customer").select("c_custkey", game.alias("game")), hashing.derived_keys(), tasks=spark.sparkContext.defaultParallelism))
     return g.select("c_custkey", F.array_join("ucis", " ").alias("ucis"))
 
 
 @query("trajectory_fp")
 def trajectory_fp(spark, sf_dir):
     game = F.concat(F.lit("1. "), F.element_at(F.array(*[F.lit(s) for s, _ in LINES]), (F.col("c_custkey") % 3 + 1).cast("int")))
-    g = replayed(table(spark, sf_dir, "customer").select("c_custkey", game.alias("game")), hashing.derived_keys())
+    g = replayed(table(spark, sf_dir, "customer").select("c_custkey", game.alias("game")), hashing.derived_keys(), tasks=spark.sparkContext.defaultParallelism)
     return g.groupBy("trajectory_fp", "final_position_fp").agg(F.count("*").alias("games"), F.min("c_custkey").alias("first"))
 
 
