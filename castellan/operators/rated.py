@@ -44,7 +44,7 @@ def kept_rows(results: DataFrame, screened: DataFrame, key: str) -> DataFrame:
 
 
 def game_participants(games: DataFrame, keys: list[str], order: str) -> tuple[DataFrame, DataFrame]:
-    """Participants (keys, name, id by first appearance, White first) and the games with white_id and black_id; games of an unnamed player or
+    """Participants (keys, name, id by first appearance, White first, then by name) and the games with white_id and black_id; games of an unnamed player or
     of a player against themselves have none. games: keys, order, white, black."""
     sides = F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("white").alias("name")), F.struct(F.lit(1).alias("side"), F.col("black").alias("name")))).alias("s")
     seen = games.select(*keys, order, sides).filter("s.name <> ''").groupBy(*keys, F.col("s.name").alias("name")).agg(F.min(F.struct(order, "s.side")).alias("first"))

@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from castellan.chess import hashing
-from castellan.functions import dates, names, pages, text, vocabulary
-from castellan.operators import admission, checks, clustering, documents, merging, moves, registries, sessions
+from castellan.functions import dates, names, pages, paths, text, vocabulary
+from castellan.operators import admission, checks, clustering, documents, merging, moves, places, rated, registries, sessions
 from castellan.plans import culling
+from castellan.sources import tables
 from castellan.sources.games import headers, replayed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -652,3 +653,63 @@ def tournament_documents(spark, sf_dir):
     more = {"end": None, "place": " New  York", "country": "usa", "cadence": "fast", "notes": " a rapid one ", "rating_system": "fide", "url": None, "source_path": None, "classification": "individual", "reader": None, "format": "Swiss system", "source": "src-a"}
     t = t.select(F.col("l_orderkey").alias("ord"), F.concat(F.lit("Open <"), k, F.lit(">")).alias("event"), k.alias("ref"), F.concat(F.lit("event:"), k).alias("event_ref"), "start", "players", *(text_of(v).alias(c) for c, v in more.items()))
     return documents.tournament_documents(t).select("id", "file_name", F.sha1("xml").alias("xml_sha1"))
+
+
+HEADINGS = "CASE c_custkey % 5 WHEN 1 THEN 'Events taking place in ' || c_mktsegment || ', Some (old) Region, Land (until 1918)' WHEN 2 THEN c_mktsegment WHEN 3 THEN ' A ,, B(x), C) ' WHEN 4 THEN '(' END"
+PLACE_NAMES = "CASE WHEN c_custkey % 3 <> 0 THEN CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment ELSE ' ' || c_name || ' ' END END"
+
+
+@query("location_parts", f"""WITH a AS (SELECT c_custkey, trim(coalesce({PLACE_NAMES}, '')) AS given, trim(coalesce({HEADINGS}, '')) AS h FROM customer),
+    b AS (SELECT c_custkey, given, list_filter(list_transform(string_split(CASE WHEN starts_with(h, 'Events taking place in') THEN trim(substr(h, 23)) ELSE h END, ','), lambda s: trim(rtrim(trim(split_part(trim(s), '(', 1)), ')'))), lambda s: s <> '') AS parts FROM a),
+    c AS (SELECT c_custkey, CASE WHEN given = '' AND len(parts) > 0 THEN parts[1] ELSE given END AS city, parts FROM b),
+    d AS (SELECT *, CASE WHEN len(parts) > 0 AND parts[1] = city THEN parts[2:] ELSE parts END AS rest FROM c)
+    SELECT c_custkey, city, CASE WHEN len(rest) > 1 THEN array_to_string(rest[1:len(rest) - 1], ', ') END AS region, CASE WHEN len(rest) > 0 THEN rest[len(rest)] WHEN len(parts) > 0 THEN parts[len(parts)] END AS country FROM d""")
+def location_parts(spark, sf_dir):
+    p = places.parse_location(F.expr(PLACE_NAMES), F.expr(HEADINGS))
+    return table(spark, sf_dir, "customer").select("c_custkey", p.alias("p")).select("c_custkey", "p.city", "p.region", "p.country")
+
+
+@query("whole_event_screening", f"""WITH r AS (SELECT l_orderkey AS k, count(*) AS players, min(r) AS least, max(r) AS most, count(*) FILTER (r IS NULL) AS missing, count(*) FILTER (r < 10) AS below FROM (SELECT l_orderkey, {RATING_SQL} AS r FROM lineitem WHERE l_linenumber <> 1) GROUP BY 1)
+    SELECT o_orderkey, coalesce(players, 0) AS players, least, most, coalesce(missing, 0) AS missing, coalesce(below, 0) AS below, coalesce(missing = 0 AND below = 0, false) AS kept,
+    CASE WHEN players IS NULL THEN 'no player rows' WHEN missing > 0 THEN missing || ' missing/unrated player ratings' WHEN below > 0 THEN below || ' player ratings below 10' ELSE 'all ' || players || ' player ratings >= 10' END AS reason FROM orders LEFT JOIN r ON k = o_orderkey""")
+def whole_event_screening(spark, sf_dir):
+    results = table(spark, sf_dir, "lineitem").filter("l_linenumber <> 1").select(F.col("l_orderkey").alias("o_orderkey"), F.expr(RATING_SQL).alias("r"))
+    return rated.screened_events(table(spark, sf_dir, "orders").select("o_orderkey"), results, "o_orderkey", "r", 10)
+
+
+PAIRED = "SELECT l_orderkey, l_linenumber AS n, CASE WHEN l_suppkey % 11 <> 0 THEN 'n' || l_suppkey % 13 END AS white, CASE WHEN l_partkey % 11 <> 0 THEN 'n' || l_partkey % 13 ELSE '' END AS black FROM lineitem"
+
+
+@query("game_participants", f"""WITH g AS ({PAIRED}), s AS (SELECT l_orderkey, white AS name, n, 0 AS side FROM g UNION ALL SELECT l_orderkey, black, n, 1 FROM g),
+    p AS (SELECT l_orderkey, name, 'p' || lpad(CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY min(n * 2 + side), name) AS VARCHAR), 4, '0') AS id FROM s WHERE name <> '' GROUP BY 1, 2)
+    SELECT g.l_orderkey, g.n, CASE WHEN w.id <> b.id THEN w.id END AS white_id, CASE WHEN w.id <> b.id THEN b.id END AS black_id FROM g LEFT JOIN p w ON w.l_orderkey = g.l_orderkey AND w.name = g.white LEFT JOIN p b ON b.l_orderkey = g.l_orderkey AND b.name = g.black""")
+def game_participants(spark, sf_dir):
+    g = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", F.col("l_linenumber").alias("n"), F.expr("CASE WHEN l_suppkey % 11 <> 0 THEN concat('n', l_suppkey % 13) END").alias("white"), F.expr("CASE WHEN l_partkey % 11 <> 0 THEN concat('n', l_partkey % 13) ELSE '' END").alias("black"))
+    return rated.game_participants(g, ["l_orderkey"], "n")[1].select("l_orderkey", "n", "white_id", "black_id")
+
+
+@query("link_index", r"""SELECT target, count(DISTINCT page_id) AS pages, min(page_id) AS least, max(page_id) AS most FROM (SELECT page_id, unnest(regexp_extract_all(html, 'href="/([^"]*)"', 1)) AS target FROM pages) GROUP BY 1""")
+def link_index(spark, sf_dir):
+    found = tables.link_index(table(spark, sf_dir, "pages"), "page_id", "html", r'href="/([^"]*)"')
+    return found.select("target", F.size("pages").cast("long").alias("pages"), F.array_min("pages").alias("least"), F.array_max("pages").alias("most"))
+
+
+@query("site_matching", """WITH g AS (SELECT n_name AS spelling, n_nationkey AS k FROM nation UNION SELECT r_name, n_nationkey FROM nation JOIN region ON r_regionkey = n_regionkey UNION SELECT n_name || ', ' || r_name, n_nationkey FROM nation JOIN region ON r_regionkey = n_regionkey),
+    i AS (SELECT lower(translate(spelling, '., -_()', '')) AS skey, count(DISTINCT k) AS n, min(k) AS k FROM g GROUP BY 1),
+    s AS (SELECT DISTINCT trim(regexp_replace(x, '[ ]+', ' ', 'g')) AS site FROM (SELECT replace(n_name, '_', ' - ') AS x FROM nation UNION ALL SELECT lower(r_name) FROM region UNION ALL SELECT c_mktsegment FROM customer UNION ALL SELECT * FROM (VALUES ('Online'), ('http://a.b'), ('#x'), ('@x'), (' '), ('?'))))
+    SELECT site, coalesce(n, 0) AS candidates, CASE WHEN site LIKE '%#%' OR substr(site, 1, 1) IN ('@', '%', '=', '>') THEN 'unusable' WHEN lower(site) IN ('?', 'unknown', 'n/a', 'online') OR site LIKE '%://%' THEN 'not a place' WHEN n = 1 THEN 'matched' WHEN n > 1 THEN 'ambiguous' ELSE 'standalone' END AS verdict
+    FROM s LEFT JOIN i ON skey = lower(translate(site, '., -_()', '')) WHERE site <> ''""")
+def site_matching(spark, sf_dir):
+    n, r = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    p = n.join(r, F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_nationkey").cast("string").alias("ref"), F.col("n_name").alias("name"), F.col("n_nationkey").cast("string").alias("country"), F.lit(0).alias("priority"), F.array("r_name", F.concat_ws(", ", "n_name", "r_name")).alias("aliases"))
+    named = n.select(F.replace("n_name", F.lit("_"), F.lit(" - ")).alias("site")).unionAll(r.select(F.lower("r_name"))).unionAll(table(spark, sf_dir, "customer").select("c_mktsegment"))
+    odd = spark.createDataFrame([("Online",), ("http://a.b",), ("#x",), ("@x",), (" ",), ("?",)], "site string")
+    return places.matched_sites(named.unionAll(odd), places.place_groups(p)).select("site", F.col("candidates").cast("long").alias("candidates"), "verdict")
+
+
+@query("local_paths", r"""WITH a AS (SELECT page_id, url, regexp_extract(url, '[?]([^#]*)', 1) AS q, list_filter(string_split(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '/'), lambda s: s <> '') AS p FROM pages),
+    b AS (SELECT page_id, url, q, p[1:len(p) - 1] AS folders, CASE WHEN len(p) = 0 THEN 'index.html' WHEN contains(p[len(p)], '.') THEN p[len(p)] ELSE p[len(p)] || '.html' END AS file FROM a)
+    SELECT page_id, array_to_string(list_concat(['html', lower(regexp_extract(url, '://([^/?#]*)', 1))], list_concat(folders, [CASE WHEN q = '' THEN file ELSE regexp_extract(file, '^(.*)[.][^.]*$', 1) || '-' || substr(sha1(q), 1, 10) || regexp_extract(file, '[.][^.]*$') END])), '/') AS path FROM b""")
+def local_paths(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", paths.local_path(F.col("url")).alias("path"))

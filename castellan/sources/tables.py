@@ -47,9 +47,13 @@ def newest(spark: SparkSession, pattern: str) -> str:
 def page_index(spark: SparkSession, path: str, pattern: str = r"\.\./matches/(m\d+)\.html") -> DataFrame:
     """target and pages (their names, sorted, each once): which pages of a folder link to what the pattern's group finds."""
     raw = spark.read.text(path, wholetext=True)
-    page = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]*)\.[^./]*$", 1)
-    found = raw.select(page.alias("page"), F.explode(F.array_distinct(F.regexp_extract_all("value", F.lit(pattern), 1))).alias("target"))
-    return found.groupBy("target").agg(F.array_sort(F.collect_set("page")).alias("pages"))
+    return link_index(raw.select(F.regexp_extract(F.col("_metadata.file_path"), r"([^/]*)\.[^./]*$", 1).alias("page"), "value"), "page", "value", pattern)
+
+
+def link_index(pages: DataFrame, page: str, html: str, pattern: str) -> DataFrame:
+    """target and pages of what the pattern's group finds in the html of pages. A target that all pages share fills one row with their names."""
+    found = pages.select(page, F.explode(F.array_distinct(F.regexp_extract_all(html, F.lit(pattern), 1))).alias("target"))
+    return found.groupBy("target").agg(F.array_sort(F.collect_set(page)).alias("pages"))
 
 
 def read_countries(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

@@ -1,10 +1,12 @@
 import gzip
+import hashlib
 import json
 import sqlite3
 
 from pyspark.sql import functions as F
 
-from castellan.operators import places, rated
+from castellan.functions import paths
+from castellan.operators import checks, places, rated
 from castellan.sources import events, facts, tables
 
 PLAYERS = [{"name": " A  B ", "fide_id": "12345", "fed": "usa", "rating": 2400, "score": 1.5, "rank": 1}, {"name": " "}]
@@ -141,3 +143,22 @@ def test_rated_documents(spark):
                  "<ctml:notes>games=5; class=A; x</ctml:notes>", "<ctml:score>1.5</ctml:score>", '<ctml:resolution method="unresolved"', "  <ctml:notes>Edo event name: Named n1</ctml:notes>", "<ctml:note>tournament_id=t1; source_path=s</ctml:note>"):
         assert part in docs["t1"], part
     assert "  <ctml:participants>\n  </ctml:participants>" in docs["t3"] and "<ctml:notes>" in docs["t3"]
+
+
+def test_safe_names(spark):
+    one = lambda f, *xs: [r[0] for r in spark.createDataFrame([(x,) for x in xs], "x string").select(f(F.col("x"))).collect()]
+    assert one(paths.safe_segment, "a%20b+c", " CON ", "a<b>|c", "", "100%", "%E9t", None) == ["a b+c", "_CON", "a_b__c", "_", "100%", "\ufffdt", None]
+    assert one(paths.local_path, "https://Ex.org:80/a/b%2Fc.htm?x=1#y", "http://e.org", "http://e.org/a;p/b;q", "http://e.org/a.b.txt?q") == [
+        f"html/ex.org_80/a/b_c-{hashlib.sha1(b'x=1').hexdigest()[:10]}.htm", "html/e.org/index.html", "html/e.org/a;p/b.html", f"html/e.org/a.b-{hashlib.sha1(b'q').hexdigest()[:10]}.txt"]
+    assert one(paths.safe_file_part, " a:  b?. ", "...", "x" * 100) == ["a_ b", "untitled", "x" * 80]
+    assert one(paths.file_name_of_url, "http://e.org/x/a%3Ab.html?q", "http://e.org/") == ["a_b.html", f"crosstable-{hashlib.sha1(b'http://e.org/').hexdigest()[:12]}.html"]
+
+
+def test_value_and_base_checks(spark):
+    rows = spark.createDataFrame([(1, 4001, 1, 1, 1900), (2, 0, 32, 13, 1900), (3, None, 1, None, None), (4, -1, None, 2, None), (5, None, None, None, None)], "id int, rating int, d int, m int, y int")
+    assert sorted((r.id, r.problem) for r in checks.value_problems(rows, "rating", "d", "m", "y").collect()) == [
+        (1, "rating out of range"), (2, "day out of range"), (2, "month out of range"), (3, "day without a month"), (4, "month without a year"), (4, "rating out of range")]
+    text = lambda *ls: spark.createDataFrame([(x,) for x in ls], "value string")
+    assert checks.base_problems(text('@PLAYER "x"', "A\ufffd\ufffd", None, "")).first().asDict() == {"markers": 1, "has_players": True, "generated": [], "replacement_characters": 2, "usable": True}
+    assert checks.base_problems(text("@player", " @Site x", "@EVENT")).first().asDict() == {"markers": 3, "has_players": True, "generated": ["@EVENT", "@SITE"], "replacement_characters": 0, "usable": False}
+    assert not checks.base_problems(text().limit(0)).first().usable
