@@ -15,6 +15,7 @@ from castellan.llm.mixing import mix_sources
 from castellan.llm.oracles import ORACLES as ORACLES
 from castellan.llm.packing import pack
 from castellan.llm.quality import quality_verdicts
+from castellan.llm.repair import damage, repair_conversations
 from castellan.llm.secrets import BASE, scan_secrets
 from castellan.llm.sharding import ShardedTable
 from castellan.llm.simhash import simhash_components
@@ -93,6 +94,14 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    r = repair_conversations(damage(turns))
+    every = turns.select("conv_id").distinct().join(r, F.col("conv_id").eqNullSafe(F.col("conv")), "left")
+    counts = [F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return every.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_licenses": op2_licenses,
@@ -104,4 +113,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_secrets": op9_secrets,
     "op10_simhash": op10_simhash,
+    "op11_repair": op11_repair,
 }
