@@ -20,7 +20,8 @@ from castellan.llm.secrets import BASE, scan_secrets
 from castellan.llm.sharding import ShardedTable
 from castellan.llm.simhash import simhash_components
 from castellan.llm.templates import line_report
-from castellan.workspace import new_path
+from castellan.llm.trie import numbered_turns, prefix_trie, rebuilt
+from castellan.workspace import keep, new_path
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,6 +103,14 @@ def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return every.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
 
 
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = keep(numbered_turns(spark.read.parquet(f"{sf_dir}/conversations.parquet")), "numbered-turns")
+    t = prefix_trie(keep(rebuilt(turns), "rebuilt"))
+    return t.select(
+        F.col("conv").alias("conv_id"), "depth", F.col("parent").alias("parent_conv_id"), F.col("n").alias("n_convs"), F.col("children").alias("n_children"), F.col("leaves").alias("n_leaves"),
+        F.col("saved").alias("saved_tokens"), F.col("ends").alias("ends_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_licenses": op2_licenses,
@@ -114,4 +123,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secrets": op9_secrets,
     "op10_simhash": op10_simhash,
     "op11_repair": op11_repair,
+    "op12_trie": op12_trie,
 }
