@@ -14,6 +14,8 @@ from castellan.llm.licenses import scan_licenses
 from castellan.llm.mixing import mix_sources
 from castellan.llm.oracles import ORACLES as ORACLES
 from castellan.llm.packing import pack
+from castellan.llm.personal import BASE as PERSONAL
+from castellan.llm.personal import scan_personal
 from castellan.llm.quality import quality_verdicts
 from castellan.llm.repair import damage, repair_conversations
 from castellan.llm.secrets import BASE, scan_secrets
@@ -111,6 +113,17 @@ def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("saved").alias("saved_tokens"), F.col("ends").alias("ends_sha256"))
 
 
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_personal(documents(spark, sf_dir))
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    base = F.filter("spans", lambda s: s["kind"].isin(*PERSONAL))
+    counts = [F.expr(f"cast(size(filter(spans, s -> s.kind = '{k}')) as bigint)").alias(f"n_{k}") for k in PERSONAL]
+    return found.select(F.col("id").alias("doc_id"), *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_licenses": op2_licenses,
@@ -124,4 +137,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash": op10_simhash,
     "op11_repair": op11_repair,
     "op12_trie": op12_trie,
+    "op13_pii": op13_pii,
 }
