@@ -1,10 +1,12 @@
-"""Queries of player and event resolution: orders stand for games, customers for registered players, and orders' dates for occurrences."""
+"""Queries of player and event resolution, and of player blocks: orders stand for games, customers for registered players, and orders' dates for occurrences."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from castellan.operators import resolution
+from castellan.sources.players import read_players
+from castellan.workspace import new_path
 
 SEGMENT = "element_at(array('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY'), cast(1 + o_orderkey div 4 % 5 as int))"
 
@@ -60,4 +62,25 @@ def event_resolution(spark, sf_dir):
     return found.select(key.alias("key"), "start", F.coalesce("end", "start").alias("end"), F.col("event_ref").alias("occurrence"), F.col("candidates").cast("int").alias("candidates"), made.alias("event_ref")).distinct()
 
 
-SUITE = {"player_resolution": (player_resolution, PLAYERS_SQL), "event_resolution": (event_resolution, EVENTS_SQL)}
+BLOCKS_SQL = """
+    SELECT c_custkey % 1000 + 1000 AS fide_id, count(*) AS blocks, count(*) FILTER (c_custkey % 10 = 0) AS malformed, max(CASE WHEN c_custkey % 10 > 0 THEN CASE WHEN c_custkey % 2 = 0 THEN 'USA' END END) AS federation,
+        sum(CASE WHEN c_custkey % 10 > 0 THEN CAST(floor(abs(c_acctbal)) AS BIGINT) END) AS ratings, min(CASE WHEN c_custkey % 10 > 0 THEN 1900 + c_nationkey END) AS birth_year, min(CASE WHEN c_custkey % 10 > 0 THEN c_mktsegment || ' Alias' || c_custkey END) AS alias,
+        sum(CASE WHEN c_custkey % 10 > 0 THEN 2 * c_nationkey + 3 ELSE 0 END) AS points FROM customer GROUP BY 1
+"""
+
+
+def player_blocks(spark, sf_dir):
+    """Customers written in the line format and read back from the files: what a block says, added up by the number in its id."""
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    line = """concat('@PLAYER\n# ', c_custkey, '\n', replace(c_name, '#', ' '), ', ', c_mktsegment, ' ', '#GM+IM', if(c_custkey % 2 = 0, ' USA', ''), if(c_custkey % 10 = 0, '', concat(' [', cast(floor(abs(c_acctbal)) as bigint), ']')), ' ', 1900 + c_nationkey, '.??.??\n',
+        '  %Bio FIDE ', c_custkey % 1000 + 1000, '\n\n  %Bio Key ', c_custkey, '\n  %Elo 2001:', c_nationkey, ',?,', c_nationkey + 3, ',x\n  = ', c_mktsegment, ' Alias', c_custkey)"""
+    path = new_path(spark, "player-lines")
+    c.select(F.expr(line)).write.text(path)
+    b = read_players(spark, path).withColumn("key", F.coalesce(F.col("fide_id").cast("bigint"), F.regexp_extract("line", r"(\d{9}),", 1).cast("bigint") % 1000 + 1000))
+    points = F.aggregate(F.filter(F.flatten(F.map_values("elo")), lambda v: v.isNotNull()), F.lit(0), lambda a, v: a + v)
+    return b.groupBy(F.col("key").alias("fide_id")).agg(
+        F.count("*").alias("blocks"), F.count_if("malformed").alias("malformed"), F.max("federation").alias("federation"), F.sum("bracket_rating").alias("ratings"), F.min("birth_year").alias("birth_year"),
+        F.min(F.get("aliases", F.lit(0))).alias("alias"), F.sum(points).alias("points"))
+
+
+SUITE = {"player_resolution": (player_resolution, PLAYERS_SQL), "event_resolution": (event_resolution, EVENTS_SQL), "player_blocks": (player_blocks, BLOCKS_SQL)}

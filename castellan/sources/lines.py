@@ -17,19 +17,19 @@ def section_of_header(line: Column) -> Column:
 
 
 def sectioned_lines(spark: SparkSession, path: str) -> DataFrame:
-    """file, block, at (order of lines within a file's block), line (trimmed), indented and section (null before the first header).
+    """file, block, line_no (from 1, in the file), value, line (trimmed), indented, header and section (null before the first header).
 
     Files are split in blocks as Spark splits them: a block's lines before its first header belong to the last header of the blocks before, of
     which each leaves one row."""
     raw = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value")
     line = F.trim(F.regexp_replace("value", r"^[\t ]+|[\t\r ]+$", ""))
-    raw = raw.select("file", "block", "at", line.alias("line"), F.col("value").rlike("^[ \t]").alias("indented")).withColumn("header", section_of_header(F.col("line")))
+    raw = raw.select("file", "block", "at", "value", line.alias("line"), F.col("value").rlike("^[ \t]").alias("indented")).withColumn("header", section_of_header(F.col("line")))
     own = F.last("header", ignorenulls=True).over(Window.partitionBy("file", "block").orderBy("at"))
-    last = raw.groupBy("file", "block").agg(F.max_by("header", F.when(F.col("header").isNotNull(), F.col("at"))).alias("last"))
-    before = F.last("last", ignorenulls=True).over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
-    last = last.select(F.col("file").alias("f"), F.col("block").alias("b"), before.alias("before"))
+    last = raw.groupBy("file", "block").agg(F.max_by("header", F.when(F.col("header").isNotNull(), F.col("at"))).alias("last"), F.min("at").alias("first_at"), F.count("*").alias("lines"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    last = last.select(F.col("file").alias("f"), F.col("block").alias("b"), F.last("last", ignorenulls=True).over(earlier).alias("before"), (F.coalesce(F.sum("lines").over(earlier), F.lit(0)) - F.col("first_at") + 1).alias("shift"))
     j = raw.withColumn("own", own).join(last, (F.col("file") == F.col("f")) & (F.col("block") == F.col("b")))
-    return j.select("file", "block", "at", "line", "indented", "header", F.coalesce("own", "before").alias("section"))
+    return j.select("file", "block", (F.col("at") + F.col("shift")).alias("line_no"), "value", "line", "indented", "header", F.coalesce("own", "before").alias("section"))
 
 
 def line_kind(line: Column, indented: Column, section: Column, header: Column) -> Column:
@@ -44,9 +44,3 @@ def section_counts(spark: SparkSession, path: str) -> DataFrame:
     s = sectioned_lines(spark, path).select(line_kind(F.col("line"), F.col("indented"), F.col("section"), F.col("header")).alias("kind"))
     counted = F.explode(F.array(F.lit("line"), "kind"))
     return s.select(counted.alias("kind")).filter("kind is not null").groupBy("kind").agg(F.count("*").alias("n"))
-
-
-def last_block_wins(blocks: DataFrame) -> DataFrame:
-    """Of player blocks (see registry.read_players) with one FIDE id the last in the file; blocks without one go."""
-    named = F.struct(*blocks.columns)
-    return blocks.filter(F.col("fide_id").isNotNull()).groupBy("fide_id").agg(F.max_by(named, "offset").alias("b")).select("b.*")

@@ -1,4 +1,4 @@
-"""Registries and tables: XML shards, crosstable JSON, opening tables, spreadsheets and the line format of player blocks."""
+"""Registries and tables: XML shards, crosstable JSON, opening tables and spreadsheets."""
 
 from __future__ import annotations
 
@@ -11,7 +11,6 @@ from xml.etree import ElementTree
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 OPENINGS = "eco string, name string, pgn string, uci string, epd string"
 PLACE = "`_ref` string, `_kind` string, `ctml:name` string, `ctml:country` string, `ctml:admin1` string, `ctml:parentRef` string, `ctml:wikiDataId` string, `ctml:latitude` decimal(11,8), `ctml:longitude` decimal(11,8)"
@@ -101,94 +100,3 @@ def read_sheets(spark: SparkSession, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([file] * len(cells), pa.string()), pa.array(range(len(cells)), pa.int32()), pa.array(cells, pa.list_(pa.string()))], ["file", "row", "cells"])
 
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "file string, row int, cells array<string>")
-
-
-class _Range(InputPartition):
-    def __init__(self, path: str, start: int, end: int):
-        self.path, self.start, self.end = path, start, end
-
-
-class PlayerBlockReader(DataSourceReader):
-    """Byte ranges of the player section; a block belongs to the range in which its name line starts."""
-
-    NAME = re.compile(r"^(?P<name>.*?)\s*(?:#(?P<titles>\S+))?(?:\s+(?P<fed>[A-Z]{3}))?(?:\s+\[(?P<rating>\d{1,4})\])?(?:\s+(?P<birth>\d{4})(?:\.[\d?]{2}\.[\d?]{2})?)?\s*$")
-
-    def __init__(self, options: dict[str, str]):
-        self.path, self.chunk = options["path"], int(options.get("chunkBytes", 64 << 20))
-
-    def partitions(self) -> list[_Range]:
-        start, end = None, 0
-        with open(self.path, "rb") as f:
-            at = 0
-            for line in f:
-                if line.startswith(b"@"):
-                    if start is not None:
-                        end = at
-                        break
-                    if line.startswith(b"@PLAYER"):
-                        start = at + len(line)
-                at += len(line)
-            else:
-                end = at
-        return [] if start is None else [_Range(self.path, s, min(s + self.chunk, end)) for s in range(start, end, self.chunk)]
-
-    def read(self, part: _Range) -> Iterator[tuple]:
-        block: dict | None = None
-        with open(part.path, "rb") as f:
-            f.seek(part.start - 1)
-            at = part.start - 1 + len(f.readline())  # whole lines only: from the first that starts within the range
-            for raw in f:
-                here, at = at, at + len(raw)
-                line = raw.decode("utf-8", "replace").rstrip("\r\n")
-                if line.startswith("@"):
-                    break
-                if not line.strip() or line.startswith("#"):
-                    continue
-                if not line[0].isspace():
-                    if block:
-                        yield self._row(block)
-                        block = None
-                    if here >= part.end:
-                        return
-                    block = {"at": here, "line": line, "ids": [], "elo": {}, "aliases": []}
-                elif block:
-                    self._detail(block, line.strip())
-        if block:
-            yield self._row(block)
-
-    @staticmethod
-    def _detail(block: dict, line: str) -> None:
-        if line.startswith("%Bio "):
-            source, _, value = line[5:].strip().partition(" ")
-            if source.upper() != "FIDE" or re.fullmatch("[0-9]{4,12}", value.strip()):
-                block["ids"].append((source, value.strip()))
-        elif line.startswith("%Elo "):
-            for year, values in re.findall(r"(\d{4}):(\S+)", line):
-                block["elo"][int(year)] = [int(v) if v.isdigit() else None for v in values.split(",")][:12]
-        elif line.startswith("="):
-            block["aliases"].append(line[1:].strip())
-
-    def _row(self, b: dict) -> tuple:
-        m = self.NAME.match(b["line"])
-        fide = next((v for s, v in b["ids"] if s.upper() == "FIDE"), None)
-        n = lambda x: int(x) if x else None
-        return b["at"], m["name"].strip(), m["titles"], m["fed"], n(m["rating"]), n(m["birth"]), fide, [{"source": s, "id": v} for s, v in b["ids"]], b["elo"], b["aliases"]
-
-
-class PlayerBlocks(DataSource):
-    """spark.read.format("player_blocks").load(path): a row for each player block, ordered by offset within the file."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "player_blocks"
-
-    def schema(self) -> str:
-        return "offset bigint, name string, title_token string, federation string, bracket_rating int, birth_year int, fide_id string, ids array<struct<source:string,id:string>>, elo map<int,array<int>>, aliases array<string>"
-
-    def reader(self, schema) -> DataSourceReader:
-        return PlayerBlockReader(dict(self.options))
-
-
-def read_players(spark: SparkSession, path: str, chunk_bytes: int = 64 << 20) -> DataFrame:
-    spark.dataSource.register(PlayerBlocks)
-    return spark.read.format("player_blocks").option("chunkBytes", chunk_bytes).load(path)

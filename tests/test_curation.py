@@ -10,7 +10,8 @@ from castellan.functions import dates, names, pages, text, vocabulary
 from castellan.operators import admission, clustering, documents, players, registries, screening
 from castellan.sinks import files
 from castellan.sources import lines
-from castellan.sources.registry import read_player_registry, read_players
+from castellan.sources.players import last_block_wins, read_players
+from castellan.sources.registry import read_player_registry
 
 
 def values(spark, cells, *columns):
@@ -147,7 +148,7 @@ Doe, John Paul #GM USA [2402] 1970.??.??
   %Elo 2001:2400,?,?,2410,?,?,?,?,?,?,?,2405
   = Doe, J
 # a banner
-Roe #W
+Roe #W [2300]
 \t%Bio FIDE 2000
   %Elo 2002:2300,2300
 Noe
@@ -166,7 +167,7 @@ def test_registry_against_lines(spark, tmp_path):
     (tmp_path / "p.ssp").write_text(BLOCKS)
     x = read_player_registry(spark, f"{tmp_path}/players-*.xml").withColumn("grid", players.grid_of_points(F.col("history")))
     assert [(r.fide_id, r.family, r.given, r.female, r.birth_year, r.peak, r.ids) for r in x.orderBy("fide_id").collect()][0] == ("1000", "Doe", ["John", "Paul"], False, 1970, 2410, ["edo:4"])
-    b = lines.last_block_wins(read_players(spark, f"{tmp_path}/p.ssp"))
+    b = last_block_wins(read_players(spark, f"{tmp_path}/p.ssp"))
     n, t = names.split_name(F.col("name")), names.title_tokens(F.coalesce("title_token", F.lit("")))
     one = lambda a: F.struct(names.split_name(a)["family"].alias("family"), names.split_name(a)["given"].alias("given"), names.split_name(a)["suffix"].alias("suffix"))
     own = b.select("fide_id", n["family"].alias("family"), n["given"].alias("given"), n["suffix"].alias("suffix"), "federation", t["titles"].alias("titles"), t["female"].alias("female"), "birth_year", F.transform("aliases", one).alias("aliases"), players.history_grid(F.col("elo")).alias("grid"))

@@ -3,7 +3,7 @@ import zipfile
 
 from castellan.chess.hashing import derived_keys
 from castellan.sources.games import headers, merge_games, playable, read_games, replayed
-from castellan.sources.registry import count_records, read_crosstables, read_openings, read_places, read_players, read_sheets
+from castellan.sources.registry import count_records, read_crosstables, read_openings, read_places, read_sheets
 
 GAMES = """[Event "Open"]
 [Date "1994.07.??"]
@@ -40,33 +40,6 @@ def test_games(spark, tmp_path):
     assert [r.white for r in added.collect()] == ["Cid"] and diverging.count() == 0
 
 
-SSP = """# banner
-@PLAYER "., -_*"
-
-Family, Given #GM+WGM USA [2402] 1975.??.??
-  %Bio FIDE 1234567
-  %Bio Edo 42
-  %Elo 2001:2400,?,?,2410,?,?,?,?,?,?,?,2405,9999
-  = Alias, Other
-# inside
-Plain Name #- GER
-  %Bio FIDE 19
-Last One
-@EVENT ",. -_"
-Canonical Name
-  = alias
-"""
-
-
-def test_player_blocks_do_not_depend_on_splits(spark, tmp_path):
-    (tmp_path / "a.ssp").write_text(SSP)
-    seen = [sorted(map(tuple, read_players(spark, str(tmp_path / "a.ssp"), n).drop("ids", "elo").collect())) for n in (1 << 20, 7, 40)]
-    assert seen[0] == seen[1] == seen[2] and len(seen[0]) == 3
-    first = read_players(spark, str(tmp_path / "a.ssp")).orderBy("offset").collect()[0]
-    assert (first.name, first.title_token, first.federation, first.bracket_rating, first.birth_year, first.fide_id) == ("Family, Given", "GM+WGM", "USA", 2402, 1975, "1234567")
-    assert first.elo[2001] == [2400, None, None, 2410, *[None] * 7, 2405] and first.aliases == ["Alias, Other"]
-
-
 def test_registries(spark, tmp_path):
     (tmp_path / "o.tsv").write_text('eco\tname\tpgn\tuci\tepd\nA00\t"Odd"\t1. a3\ta2a3\tx\n')
     assert read_openings(spark, str(tmp_path / "o.tsv")).first().name == '"Odd"'
