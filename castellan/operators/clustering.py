@@ -74,6 +74,70 @@ def linked_facts(facts: DataFrame, most_in_block: int | None = 400) -> DataFrame
     return j.withColumn("s", similarity(F.col("k"), F.col("l"))).filter("s >= needed").select("a", "b").unionByName(stars)
 
 
+def _rare_first(rows: DataFrame, by: list[str], of: list[str], items: str) -> DataFrame:
+    """of, by and items sorted by how many rows of the same `by` have each, the rarest first."""
+    each = rows.select(*of, *by, F.explode(items).alias("_item"))
+    counts = each.groupBy(*by, "_item").agg(F.count("*").alias("_n"))
+    listed = F.array_sort(F.collect_list(F.struct("_n", "_item")))
+    return each.join(counts, [*by, "_item"]).groupBy(*of, *by).agg(F.transform(listed, lambda x: x["_item"]).alias(items))
+
+
+def linked_in_large_blocks(facts: DataFrame) -> DataFrame:
+    """a, b: links whose components are those of linked_facts(facts, None), for blocks of any size, without a block's pairs.
+
+    Records of one year, month and name are one unit, tied to its first; one of several units of a name is enough to link them to another name. A similarity of 0.94 needs 0.829 of
+    the words to be shared, so both names have one of their rarest few words in common (a prefix filter: two sets that share a part of their items share one of the first so many of
+    them in any order). A similarity of 0.62 counts with half of the smaller roster shared, so the rosters, by units of equal roster, have one of the smaller one's rarer
+    half in common. Only such candidates are matched, each pair of names once. The matcher depends on the order of its arguments, the earlier record's name first: a unit's
+    first and last record tell whether a pair in either order is among theirs."""
+    ref = F.coalesce(F.col("event_ref"), F.lit(""))
+    sure = facts.filter(ref != "")
+    referred = sure.join(sure.groupBy("event_ref").agg(F.min("idx").alias("a")), "event_ref").filter("a <> idx").select("a", F.col("idx").alias("b"))
+    f = facts.filter((ref == "") & (F.col("key") != "")).select("idx", "year", F.coalesce("month", F.lit(0)).alias("month"), "key", F.array_sort(F.array_distinct(F.coalesce("roster", F.array().cast("array<string>")))).alias("roster"))
+    f = f.withColumn("block", F.split_part("key", F.lit(" "), F.lit(1)))
+    span = [F.min("idx").alias("low"), F.max("idx").alias("high")]
+    units = keep(f.groupBy("year", "block", "month", "key").agg(*span), "units")
+    stars = f.join(units, ["year", "block", "month", "key"]).filter("idx <> low").select(F.col("low").alias("a"), F.col("idx").alias("b"))
+
+    def side(df: DataFrame, s: str) -> DataFrame:
+        return df.toDF(*[f"{s}_{c}" for c in df.columns])
+
+    near = "(x_month = 0 or y_month = 0 or abs(x_month - y_month) <= 1)"
+    link = [F.least("x_low", "y_low").alias("a"), F.greatest("x_low", "y_low").alias("b")]
+    same_name = side(units, "x").join(side(units, "y"), F.expr(f"x_year = y_year and x_key = y_key and x_month < y_month and {near}")).select(*link)
+
+    def matched(pairs: DataFrame, least: float) -> DataFrame:
+        """x_key, y_key (x_key the lesser), xy and yx: pairs of names one of whose similarities reaches least."""
+        p = pairs.select(F.least("x_key", "y_key").alias("x_key"), F.greatest("x_key", "y_key").alias("y_key")).distinct()
+        bound = 0.65 * 2 * F.least(F.length("x_key"), F.length("y_key")) / (F.length("x_key") + F.length("y_key")) + 0.35 * token_jaccard(F.col("x_key"), F.col("y_key"))
+        p = p.filter(bound >= least - 1e-9)
+        return p.withColumns({"xy": similarity(F.col("x_key"), F.col("y_key")), "yx": similarity(F.col("y_key"), F.col("x_key"))}).filter((F.col("xy") >= least) | (F.col("yx") >= least))
+
+    names = units.select("year", "block", "key").distinct().withColumn("words", F.array_distinct(F.split("key", " ")))
+    words = _rare_first(names, ["year", "block"], ["key"], "words")
+    # of n words, ceil(0.829 n) must be shared
+    words = words.select("year", "block", "key", F.explode(F.slice("words", 1, (F.size("words") - F.ceil(F.size("words") * (0.29 / 0.35) - 1e-9) + 1).cast("int"))).alias("word"))
+    met = side(words, "x").join(side(words, "y"), F.expr("x_year = y_year and x_block = y_block and x_word = y_word and x_key < y_key"))
+    alike = keep(matched(met, 0.94), "alike-names")
+    in_order = lambda least: F.expr(f"(x_low < y_high and xy >= {least}) or (y_low < x_high and yx >= {least})")
+    names_linked = side(units, "x").join(alike, "x_key").join(side(units, "y"), ["y_key"]).filter(F.expr(f"x_year = y_year and {near}") & in_order(0.94)).select(*link)
+
+    teams = f.filter(F.size("roster") > 0).groupBy("year", "block", "month", "key", "roster").agg(*span)
+    rare = _rare_first(teams, ["year", "block"], ["month", "key", "low", "high"], "roster").withColumn("n", F.size("roster"))
+    rare = keep(rare, "rosters")
+    some = rare.withColumn("player", F.explode(F.slice("roster", 1, (F.floor(F.col("n") / 2) + 1).cast("int"))))
+    every = rare.withColumn("player", F.explode("roster"))
+    met = side(some, "x").join(side(every, "y"), F.expr(f"x_year = y_year and x_block = y_block and x_player = y_player and x_n <= y_n and x_key <> y_key and {near}"))
+    met = met.filter(2 * F.size(F.array_intersect("x_roster", "y_roster")) >= F.col("x_n")).drop("x_roster", "y_roster", "x_player", "y_player")
+    met = keep(met.distinct(), "roster-pairs")
+    similar = matched(met, 0.62).toDF("k", "l", "kl", "lk")
+    flipped = F.col("x_key") > F.col("y_key")
+    both = met.join(similar, (F.least("x_key", "y_key") == F.col("k")) & (F.greatest("x_key", "y_key") == F.col("l")))
+    both = both.withColumns({"xy": F.when(flipped, F.col("lk")).otherwise(F.col("kl")), "yx": F.when(flipped, F.col("kl")).otherwise(F.col("lk"))})
+    teams_linked = both.filter(in_order(0.62)).select(*link)
+    return referred.unionByName(stars).unionByName(same_name).unionByName(names_linked).unionByName(teams_linked).distinct()
+
+
 #: Which source of a tournament is trusted first.
 SOURCE_PRIORITY = {"chess-results": 100, "twic": 90, "edo": 80, "nwchess-minev": 70, "olimpbase": 60}
 

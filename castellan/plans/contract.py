@@ -15,6 +15,7 @@ from castellan.operators import admission, checks, clustering, documents, mergin
 from castellan.plans import culling, resolving
 from castellan.sources import tables
 from castellan.sources.games import headers, replayed
+from castellan.workspace import keep
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -369,6 +370,17 @@ def fact_clusters(spark, sf_dir):
     return clustering.components(clustering.linked_facts(facts))
 
 
+@query("linked_blocks")
+def linked_blocks(spark, sf_dir):
+    """Orders as records of one block a year: names of a few words with many equal and near ones, rosters of the parts bought. Tested against brute force."""
+    li = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    name = F.min_by(F.concat_ws(" ", "p_name", F.expr("if(l_orderkey % 2 = 0, 'cup', 'memorial cup')"), F.concat(F.lit("no"), F.col("l_partkey").cast("string"))), "l_partkey")
+    o = li.groupBy("l_orderkey").agg(name.alias("words"), F.collect_set(F.col("l_partkey").cast("string")).alias("roster"), F.min("l_shipdate").alias("day"))
+    facts = o.select(F.col("l_orderkey").alias("idx"), F.when(F.col("l_orderkey") % 97 == 0, F.concat(F.lit("e"), (F.col("l_orderkey") % 31).cast("string"))).alias("event_ref"), F.year("day").alias("year"), F.month("day").alias("month"), text.name_key(F.concat(F.lit("city "), F.col("words"))).alias("key"), "roster")
+    facts = keep(facts, "facts")
+    return clustering.components(clustering.linked_in_large_blocks(facts))
+
+
 @query("connected_components", """WITH RECURSIVE e AS (SELECT DISTINCT o_custkey AS x, o_custkey + 7 AS y FROM orders), d AS (SELECT DISTINCT x, y FROM (SELECT x, y FROM e UNION ALL SELECT y, x FROM e)),
     r AS (SELECT DISTINCT x, x AS root FROM d UNION SELECT d.y, r.root FROM r JOIN d ON d.x = r.x WHERE r.root < d.y) SELECT x AS node, min(root) AS root FROM r GROUP BY 1""")
 def connected_components(spark, sf_dir):
