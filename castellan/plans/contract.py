@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from castellan.chess import hashing
 from castellan.functions import dates, names, pages, paths, text, vocabulary
-from castellan.operators import admission, checks, clustering, documents, merging, moves, places, rated, registries, sessions
-from castellan.plans import culling, resolving
+from castellan.operators import admission, checks, clustering, documents, merging, moves, places, positions, rated, registries, sessions
+from castellan.plans import culling, reading, resolving
 from castellan.sources import tables
 from castellan.sources.games import headers, replayed
 from castellan.workspace import keep
@@ -336,7 +336,7 @@ def interval_overlap_join(spark, sf_dir):
     return merging.overlapping(s, "user_id", "a", "b", o, "ou", "oa", "ob").select("user_id", "event_type", "a", "b", "oa")
 
 
-for _name, (_f, _sql) in (culling.SUITE | resolving.SUITE).items():
+for _name, (_f, _sql) in (culling.SUITE | reading.SUITE | resolving.SUITE).items():
     query(_name, _sql)(_f)
 
 
@@ -486,7 +486,7 @@ def rating_values(spark, sf_dir):
 
 @query("skip_limit", "SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT 100 OFFSET 50")
 def skip_limit(spark, sf_dir):
-    return table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").orderBy("o_orderkey").offset(50).limit(100)
+    return positions.offset_limit(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), ["o_orderkey"], 50, 100)
 
 
 # Published move counts of the usual test positions.

@@ -1,28 +1,20 @@
-"""Game files: split into games by the text source itself, then parsed and replayed in Arrow batches, in parallel across games."""
+"""Games (see gamefiles.read_games) parsed and replayed in Arrow batches, in parallel across games."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from castellan.chess import hashing, notation
 from castellan.functions import dates, vocabulary
 
-BREAK = "\n\n[Event "
 GAME = "tags map<string,string>, sans array<string>, terminator string, ucis array<string>, trajectory_fp string, final_position_fp string, error string"
 ARROW_GAME = [pa.field("tags", pa.map_(pa.string(), pa.string()))] + [pa.field(n, pa.list_(pa.string()) if n in ("sans", "ucis") else pa.string()) for n in ("sans", "terminator", "ucis", "trajectory_fp", "final_position_fp", "error")]
 
 
-def read_games(spark: SparkSession, path: str, line_break: str = "\n") -> DataFrame:
-    """game (its text) and file, one row a game, by cutting the files before each blank line and event tag: large files are read in splits."""
-    raw = spark.read.option("lineSep", BREAK.replace("\n", line_break)).text(path)
-    text = F.when(F.ltrim("value").startswith("["), F.col("value")).otherwise(F.concat(F.lit("[Event "), F.col("value")))
-    return raw.filter(F.trim("value") != "").select(text.alias("game"), F.col("_metadata.file_path").alias("file"))
-
-
 def replayed(games: DataFrame, keys: Sequence[int], text: str = "game", tasks: int | None = None) -> DataFrame:
     """games with tags, moves and fingerprints added. A game that cannot be played has its reason in error and null fingerprints; it is never fatal.
 

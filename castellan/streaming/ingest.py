@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from castellan.sources.games import BREAK, headers, merge_games, playable, replayed
+from castellan.sources.games import headers, merge_games, playable, replayed
 
+#: Files of a stream come whole in one batch, cut before each blank line and event tag.
+BREAK = "\n\n[Event "
 SLOT = ["event", "round", "white", "black"]
 COLUMNS = [*SLOT, "result", "ply_count", "trajectory_fp", "final_position_fp"]
 

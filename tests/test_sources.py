@@ -2,7 +2,8 @@ import json
 import zipfile
 
 from castellan.chess.hashing import derived_keys
-from castellan.sources.games import headers, merge_games, playable, read_games, replayed
+from castellan.sources.gamefiles import read_games
+from castellan.sources.games import headers, merge_games, playable, replayed
 from castellan.sources.registry import count_records, read_crosstables, read_openings, read_places, read_sheets
 
 GAMES = """[Event "Open"]
