@@ -99,16 +99,3 @@ def tournament_documents(tables: DataFrame, order: str = "ord") -> DataFrame:
 def skip_counts(tables: DataFrame) -> DataFrame:
     """skipped (null: written) and how many crosstables."""
     return usable(tables).groupBy("skipped").agg(F.count("*").alias("tables"))
-
-
-def element(name: str, value: Column) -> Column:
-    """<ctml:name>value</ctml:name>, or nothing for a blank value."""
-    return F.when(F.trim(value) != "", F.concat(F.lit(f"<ctml:{name}>"), text.esc(value), F.lit(f"</ctml:{name}>"))).otherwise("")
-
-
-def game_element(g: DataFrame) -> Column:
-    """A replayed game (see sources.games.headers) as XML: players, result, ply count, moves numbered from 1, fingerprints."""
-    moves = F.array_join(F.transform("ucis", lambda u, i: F.concat(F.lit('<ctml:move ply="'), i + 1, F.lit('">'), u, F.lit("</ctml:move>"))), "")
-    prints = [F.concat(F.lit(f'<ctml:fingerprint scheme="zobrist-polyglot-1" scope="{s}">'), F.col(c), F.lit("</ctml:fingerprint>")) for s, c in (("trajectory", "trajectory_fp"), ("finalPosition", "final_position_fp"))]
-    start = F.when(F.col("start_fen").isNotNull(), element("start", F.col("start_fen"))).otherwise("")
-    return F.concat(F.lit("<ctml:game>"), element("white", F.col("white")), element("black", F.col("black")), element("result", F.col("result")), element("eco", F.coalesce("eco", F.lit(""))), start, element("plyCount", F.col("ply_count").cast("string")), F.lit("<ctml:moves>"), moves, F.lit("</ctml:moves>"), *prints, F.lit("</ctml:game>"))

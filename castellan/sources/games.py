@@ -46,8 +46,8 @@ def headers(games: DataFrame) -> DataFrame:
     def tag(name: str) -> Column:
         return F.nullif(F.trim(F.try_element_at("tags", F.lit(name))), F.lit(""))
 
-    plain = {"event": "Event", "site": "Site", "round": "Round", "white": "White", "black": "Black", "start_fen": "FEN"}
-    coded = {"white_elo": vocabulary.elo(tag("WhiteElo")), "black_elo": vocabulary.elo(tag("BlackElo")), "eco": vocabulary.eco_code(tag("ECO")), "termination": vocabulary.termination(tag("Termination"))}
+    plain = {"event": "Event", "site": "Site", "round": "Round", "white": "White", "black": "Black"}
+    coded = {"start_fen": F.when(tag("SetUp") == "1", tag("FEN")), "white_elo": vocabulary.elo(tag("WhiteElo")), "black_elo": vocabulary.elo(tag("BlackElo")), "eco": vocabulary.eco_code(tag("ECO")), "termination": vocabulary.termination(tag("Termination"))}
     g = games.withColumns({c: tag(t) for c, t in plain.items()} | coded | {"date": dates.parse_pgn(tag("Date")), "result": vocabulary.game_result(F.coalesce(tag("Result"), F.col("terminator")))})
     return g.withColumn("ply_count", F.size("ucis"))
 
