@@ -585,11 +585,34 @@ def event_occurrences(spark, sf_dir):
     return registries.occurrences(r).select("ref", F.element_at("sources", 1).cast("bigint").alias("first"), F.size("sources").cast("bigint").alias("n"))
 
 
-@query("canonical_entries")
+ENTRY_NAMES = """
+    WITH x AS (SELECT c_nationkey AS priority, CASE WHEN c_custkey % 17 = 0 THEN c_name ELSE CASE c_custkey % 3 WHEN 0 THEN 'Open ' WHEN 1 THEN 'OPEN-' ELSE 'open.  ' END || (c_custkey % 400) END AS canonical,
+        CASE WHEN c_custkey % 19 = 0 THEN NULL WHEN c_custkey % 13 = 0 THEN 'open_' || (c_custkey % 400 + 1) WHEN c_custkey % 11 = 0 THEN 'o.p.e.n' || (c_custkey % 400) WHEN c_custkey % 23 = 0 THEN 'bad ' || c_name ELSE CASE c_custkey % 2 WHEN 0 THEN 'GP ' ELSE 'gp' END || (c_custkey % 1300) END AS alias FROM customer),
+    n AS (SELECT priority, replace(canonical, '  ', ' ') AS canonical, alias, regexp_replace(lower(canonical), '[,. _-]', '', 'g') AS ck, regexp_replace(lower(alias), '[,. _-]', '', 'g') AS ak FROM x),
+    good AS (SELECT * FROM n WHERE canonical NOT LIKE '%#%'), shown AS (SELECT ck, arg_min(canonical, (priority, lower(canonical), canonical)) AS canonical FROM good GROUP BY 1),
+    al AS (SELECT *, ak = ck AS own FROM good WHERE alias NOT LIKE '%#%'), claims AS (SELECT ak, count(DISTINCT ck) AS n FROM al WHERE NOT own GROUP BY 1),
+    cl AS (SELECT DISTINCT al.ck, ak, alias, CASE WHEN n > 1 THEN 'several targets' WHEN s.ck IS NOT NULL THEN 'is a canonical name' END AS problem FROM al JOIN claims USING (ak) LEFT JOIN shown s ON s.ck = ak WHERE NOT own),
+    kept AS (SELECT ck, canonical AS alias FROM good UNION SELECT ck, alias FROM al WHERE own UNION SELECT ck, alias FROM cl WHERE problem IS NULL)
+"""
+
+
+def entries_of_customers(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    spelled = "CASE c_custkey % 3 WHEN 0 THEN 'Open ' WHEN 1 THEN 'OPEN-' ELSE 'open.  ' END || (c_custkey % 400)"
+    other = """CASE WHEN c_custkey % 19 = 0 THEN NULL WHEN c_custkey % 13 = 0 THEN 'open_' || (c_custkey % 400 + 1) WHEN c_custkey % 11 = 0 THEN 'o.p.e.n' || (c_custkey % 400) WHEN c_custkey % 23 = 0 THEN 'bad ' || c_name
+        ELSE CASE c_custkey % 2 WHEN 0 THEN 'GP ' ELSE 'gp' END || (c_custkey % 1300) END"""
+    return registries.canonical_entries(c.select(F.expr(f"CASE WHEN c_custkey % 17 = 0 THEN c_name ELSE {spelled} END").alias("canonical"), F.expr(other).alias("alias"), F.col("c_nationkey").alias("priority")))
+
+
+@query("canonical_entries", ENTRY_NAMES + "SELECT s.canonical, coalesce(string_agg(k.alias, '|' ORDER BY lower(k.alias), k.alias) FILTER (k.alias <> s.canonical), '') AS aliases FROM shown s JOIN kept k USING (ck) GROUP BY s.ck, s.canonical")
 def canonical_entries(spark, sf_dir):
-    p = table(spark, sf_dir, "part")
-    n = p.select(F.concat_ws(" ", "p_name", "p_brand").alias("canonical"), F.concat_ws(" ", "p_type", F.col("p_size").cast("string"), "p_brand").alias("alias"), F.col("p_size").alias("priority"))
-    return registries.canonical_entries(n)[0].select("canonical", F.array_join("aliases", "|").alias("aliases"))
+    return entries_of_customers(spark, sf_dir)[0].select("canonical", F.array_join("aliases", "|").alias("aliases"))
+
+
+@query("entry_problems", ENTRY_NAMES + """SELECT canonical AS name, 'contains #' AS problem FROM n WHERE canonical LIKE '%#%' UNION SELECT alias, 'contains #' FROM n WHERE canonical NOT LIKE '%#%' AND alias LIKE '%#%'
+    UNION SELECT name, problem FROM (SELECT arg_min(alias, (lower(alias), alias)) AS name, problem FROM cl WHERE problem IS NOT NULL GROUP BY ck, ak, problem)""")
+def entry_problems(spark, sf_dir):
+    return entries_of_customers(spark, sf_dir)[1]
 
 
 DOCUMENT_SQL = r"""
