@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from castellan.chess import hashing
-from castellan.functions import dates, names, pages, paths, text, vocabulary
+from castellan.functions import dates, links, names, pages, paths, text, vocabulary
 from castellan.operators import admission, checks, clustering, documents, merging, moves, places, positions, rated, registries, sessions
 from castellan.plans import culling, database, reading, resolving
 from castellan.sources import tables
@@ -545,6 +545,27 @@ def link_classify(spark, sf_dir):
     return link_extract(spark, sf_dir).select("page_id", "href", pages.link_kind(F.col("href")).alias("kind"))
 
 
+SITE_PATH = "CASE page_id % 11 WHEN 0 THEN '/ind-gbr/hastings-1924.html' WHEN 1 THEN '/img/x1900.html' WHEN 2 THEN '/index.php' WHEN 3 THEN '/2024/Crossin.htm' WHEN 4 THEN '/Minev/files/a.HTM' WHEN 5 THEN '/events1900.html' WHEN 6 THEN '/a1950.PDF' WHEN 7 THEN '/search1999.html' WHEN 8 THEN '/ind-x/' WHEN 9 THEN '/2024/team.v2.php?y=1900' ELSE '/2024/2024in.html#t' END"
+SITE_TEXT = "CASE page_id % 13 WHEN 0 THEN 'Final  Standings' WHEN 1 THEN ' Summary' WHEN 2 THEN 'USA2' WHEN 3 THEN '12½3' WHEN 4 THEN '3rd' WHEN 5 THEN 'Hastings 1924' WHEN 6 THEN 'W' WHEN 7 THEN '' WHEN 8 THEN 'Events 1900' WHEN 9 THEN 'Group B' WHEN 10 THEN '+=-' WHEN 11 THEN 'Sign guestbook' ELSE NULL END"
+
+
+@query("site_link_classes", f"""WITH p AS (SELECT page_id, lower(regexp_extract(url, '://([^/?#]*)', 1)) AS host, {SITE_PATH} AS raw, trim(regexp_replace(coalesce({SITE_TEXT}, ''), ' +', ' ', 'g')) AS t FROM pages),
+    f AS (SELECT *, lower(regexp_extract(raw, '^[^?#]*')) AS path, page_id % 4 > 0 AS same, coalesce(page_id % 5 > 0, true) AS http FROM p),
+    g AS (SELECT *, regexp_extract(path, '([^/]*)/?$', 1) AS name, path LIKE '/ind-%' AS ind, path LIKE '/img/%' OR path LIKE '/search%' AS bad, lower(t) AS k, path LIKE '%/index.php' AS front, t = '' OR regexp_full_match(t, '[A-Z]{{2,5}}[0-9]?|[0-9]+([½./:-][0-9]+)?|[WDL]|[+=-]+') AS code FROM f),
+    h AS (SELECT *, same AND NOT bad AND name NOT LIKE '%.pdf' AS here, k NOT IN ('', 'summary', 'sign guestbook') AND NOT code AS worded, regexp_matches(name, '(18|19|20)[0-9][0-9]') OR regexp_matches(path, '/(18|19|20)[0-9][0-9]/') AS dated FROM g)
+    SELECT page_id, http AND here AND worded AND NOT front AS seed, http AND here AND worded AND NOT front AND ind AS individual_seed, http AND here AND worded AND dated AND NOT ind AS team_event,
+      here AND path LIKE '/2024/%' AND (k IN ('final standings', 'group b') OR k = '3rd') AS detail, http AND regexp_matches(path, '[.]html?$') AND (name LIKE 'events%' OR k LIKE 'events %') AS era, http AND regexp_matches(path, '[.]html?$') AND path LIKE '%/minev/files/%' AS crosstable FROM h""")
+def site_link_classes(spark, sf_dir):
+    """Links made of the pages' hosts, paths of every class and texts of every kind, beside a parent in /2024."""
+    p = table(spark, sf_dir, "pages").withColumn("host", F.lower(F.regexp_extract("url", "://([^/?#]*)", 1)))
+    p = p.select("page_id", "host", F.expr(f"if(page_id % 5 > 0, 'HTTPS', 'ftp') || '://' || host || {SITE_PATH}").alias("u"), F.expr(SITE_TEXT).alias("t"), F.expr(r"'https://www.' || if(page_id % 4 > 0, regexp_replace(host, '^www[.]', ''), 'other.org') || '/2024/'").alias("start"))
+    p = p.withColumn("parent", F.concat("start", F.lit("index.html")))
+    u, t, start, parent = (F.col(c) for c in ("u", "t", "start", "parent"))
+    return p.select(
+        "page_id", links.is_summary_seed(u, t, start).alias("seed"), links.is_summary_seed(u, t, start, "individual").alias("individual_seed"), links.is_event_candidate(u, t, parent, start, "team").alias("team_event"), links.is_detail(u, t, parent, start, True).alias("detail"),
+        links.is_era_page(u, t, F.col("host")).alias("era"), links.is_crosstable_file(u, F.col("host")).alias("crosstable"))
+
+
 @query("crosstable_like", r"""SELECT page_id, regexp_matches(lower(t), 'final standings|## standings|crosstable|## the final group|stage:|round:') OR (lower(t) LIKE '%pos.%' AND lower(t) LIKE '%pts%' AND regexp_matches(lower(t), 'games|gms') AND regexp_matches(lower(t), ' 1 | 0 | ½ |1/2')) AS crosstable
     FROM (SELECT page_id, html || CASE page_id % 6 WHEN 0 THEN ' Final Standings' WHEN 1 THEN ' Pos. Name Pts Games 1/2' WHEN 2 THEN ' Pos. Pts gms ' WHEN 3 THEN ' kreuztabelle' WHEN 4 THEN ' Round: 3' ELSE '' END AS t FROM pages)""")
 def crosstable_like(spark, sf_dir):
