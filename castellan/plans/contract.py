@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from castellan.chess import hashing
 from castellan.functions import dates, links, names, pages, paths, text, vocabulary
 from castellan.operators import admission, checks, clustering, documents, merging, moves, places, positions, rated, registries, sessions
-from castellan.plans import culling, database, reading, resolving
+from castellan.plans import culling, curating, database, reading, resolving
 from castellan.sources import tables
 from castellan.sources.games import headers, replayed
 from castellan.workspace import keep
@@ -336,7 +336,7 @@ def interval_overlap_join(spark, sf_dir):
     return merging.overlapping(s, "user_id", "a", "b", o, "ou", "oa", "ob").select("user_id", "event_type", "a", "b", "oa")
 
 
-for _name, (_f, _sql) in (culling.SUITE | database.SUITE | reading.SUITE | resolving.SUITE).items():
+for _name, (_f, _sql) in (culling.SUITE | curating.SUITE | database.SUITE | reading.SUITE | resolving.SUITE).items():
     query(_name, _sql)(_f)
 
 
