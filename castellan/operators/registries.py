@@ -8,7 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from castellan.functions import dates, text
+from castellan.functions import dates, names, text
+from castellan.operators.players import latest, peak
 from castellan.workspace import keep
 
 
@@ -45,6 +46,30 @@ def merge_players(records: DataFrame) -> DataFrame:
     return g.select(records.columns).unionByName(records.filter(F.col("fide_id").isNull()))
 
 
+def player_records(blocks: DataFrame) -> DataFrame:
+    """Whole registry records of player blocks (sources.players.read_players, the raw dialect; malformed ones are left out): blocks of one FIDE id are one player, any other is its own.
+
+    ref, fide_id, name, federation, titles, female, birth_year, ids (of other registries, by first appearance), aliases, history (years that have ratings, with twelve months), current_rating,
+    peak, peak_year, peak_month. What merge_players and merge_rating_months say holds; without a FIDE id the reference is made of the name and federation."""
+    b = blocks.filter(~F.col("malformed")).withColumn("key", F.coalesce("fide_id", F.concat_ws(":", F.lit("line"), "file", F.col("line_no").cast("string"))))
+    b = b.withColumns({"line": F.col("line_no"), "t": names.title_tokens(F.coalesce("title_token", F.lit(""))), "federation": F.coalesce("federation", F.lit(""))})
+    points = F.size(F.filter(F.flatten(F.map_values("elo")), lambda v: v != "?"))
+    own = b.select(F.col("key").alias("fide_id"), "line", "name", F.col("t.titles").alias("titles"), F.col("t.female").alias("female"), "birth_year", "federation", points.alias("rated_months"), "aliases")
+    merged = merge_players(own).withColumnRenamed("fide_id", "key").drop("line", "rated_months").withColumn("federation", F.coalesce("federation", F.lit("")))
+    more = b.groupBy("key").agg(F.first("fide_id").alias("fide_id"), ordered_distinct("ids", ["line"]).alias("ids"))
+    values = b.select("key", "line", F.explode("elo").alias("year", "months")).select("key", "line", "year", F.posexplode("months").alias("month", "value"))
+    months = merge_rating_months(values.select("key", "line", "year", (F.col("month") + 1).alias("month"), F.col("value").try_cast("int").alias("rating")), "key")
+    year = F.map_from_entries(F.collect_list(F.struct("month", "rating")))
+    years = months.groupBy("key", "year").agg(year.alias("m")).select("key", F.struct("year", F.transform(F.sequence(F.lit(1), F.lit(12)), lambda i: F.try_element_at("m", i)).alias("months")).alias("y"))
+    history = years.groupBy("key").agg(F.array_sort(F.collect_list("y")).alias("history"))
+    r = merged.join(more, "key").join(history, "key", "left").withColumn("history", F.coalesce("history", F.array().cast(history.schema["history"].dataType)))
+    made = F.concat(F.lit("player:syn:"), text.sha1_hex16(F.concat(F.lower(F.trim("name")), F.lit("|"), F.upper(F.trim("federation")))))
+    best = peak(F.col("history"))
+    return r.select(
+        F.coalesce(F.concat(F.lit("player:fide:"), "fide_id"), made).alias("ref"), "fide_id", "name", "federation", "titles", "female", "birth_year", "ids", "aliases", "history", latest(F.col("history")).alias("current_rating"),
+        best["value"].alias("peak"), best["year"].alias("peak_year"), best["month"].alias("peak_month"))
+
+
 def merge_places(places: DataFrame) -> DataFrame:
     """One place for each ref: the name of least priority (then of least folded name), the first country and kind that are given, aliases
     united, legacy if any record is. places: ref, priority, name, country, kind, aliases (array), legacy."""

@@ -117,6 +117,23 @@ def rating_month_merge(spark, sf_dir):
     return registries.merge_rating_months(m, "key")
 
 
+@query("""WITH c AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 6 > 0 THEN CAST(c_custkey % 500 + 1000 AS VARCHAR) ELSE 'k' || c_custkey END AS key, CASE WHEN c_custkey % 4 > 0 THEN 'N' || c_nationkey ELSE '' END AS fed, CAST(c_custkey % 2 > 0 AS INT) + CAST(c_custkey % 3 > 0 AS INT) AS points FROM customer),
+    g AS (SELECT key, 'P ' || min(k) AS name, coalesce(arg_max(fed, (points, -k)) FILTER (fed <> ''), '') AS federation, bool_or(k % 3 = 1) AS female, arg_min(1900 + k % 80, k) FILTER (k % 5 > 0) AS birth_year, arg_min(1000 + k % 100, (points, k)) FILTER (k % 2 > 0) AS jan, arg_min(1100 + k % 50, (points, k)) FILTER (k % 3 > 0) AS feb FROM c GROUP BY 1),
+    a AS (SELECT key, alias, min(pos) AS pos FROM (SELECT key, 'P ' || k AS alias, k * 10 AS pos FROM c UNION ALL SELECT key, 'P ' || (k + 500), k * 10 + 1 FROM c UNION ALL SELECT key, 'A' || (k % 9), k * 10 + 2 FROM c) GROUP BY 1, 2),
+    i AS (SELECT key, string_agg(id, '+' ORDER BY pos) AS ids FROM (SELECT key, 'edo:' || (k % 7) AS id, min(k) AS pos FROM c GROUP BY 1, 2) GROUP BY 1), t AS (SELECT key, string_agg(title, '+' ORDER BY pos) AS titles FROM (SELECT key, CASE k % 3 WHEN 0 THEN 'GM' WHEN 1 THEN 'WIM' END AS title, min(k) AS pos FROM c WHERE k % 3 < 2 GROUP BY 1, 2) GROUP BY 1)
+    SELECT CASE WHEN key NOT LIKE 'k%' THEN 'player:fide:' || key ELSE 'player:syn:' || substr(sha1(lower(name) || '|' || federation), 1, 16) END AS ref, name, federation, coalesce(titles, '') AS titles, female, birth_year, ids, coalesce(feb, jan) AS current_rating, greatest(jan, feb) AS peak,
+      CASE WHEN feb IS NULL OR jan >= feb THEN 1 ELSE 2 END AS peak_month, (SELECT string_agg(alias, '+' ORDER BY pos) FROM a WHERE a.key = g.key AND alias <> name) AS aliases FROM g LEFT JOIN i USING (key) LEFT JOIN t USING (key) WHERE jan IS NOT NULL OR feb IS NOT NULL""")
+def player_records(spark, sf_dir):
+    """Customers as player blocks, several of one id, merged to whole records; those without any rating are not shown."""
+    k = "c_custkey % "
+    b = rows(spark, sf_dir, "customer", "'f' as file", "c_custkey as line_no", f"{k}8 = 9 as malformed", "'P ' || c_custkey as name", f"element_at(array('GM', 'WIM', '-'), cast(1 + {k}3 as int)) as title_token", f"if({k}4 > 0, 'N' || c_nationkey, null) as federation", f"if({k}5 > 0, cast(1900 + {k}80 as int), null) as birth_year",
+             f"if({k}6 > 0, cast({k}500 + 1000 as string), null) as fide_id", f"array(named_struct('source', 'edo', 'id', cast({k}7 as string))) as ids", f"map(2000, array(if({k}2 > 0, cast(1000 + {k}100 as string), '?'), if({k}3 > 0, cast(1100 + {k}50 as string), '?'), '?')) as elo", f"array('P ' || (c_custkey + 500), 'A' || ({k}9)) as aliases")
+    r = registries.player_records(b).filter("current_rating is not null")
+    listed = lambda c: F.array_join(c, "+").alias(c)
+    ids = F.array_join(F.transform("ids", lambda i: F.concat_ws(":", i["source"], i["id"])), "+").alias("ids")
+    return r.select("ref", "name", "federation", listed("titles"), "female", "birth_year", ids, "current_rating", "peak", "peak_month", listed("aliases"))
+
+
 @query("""SELECT 'place:' || kind || ':' || iso3 || '-' || c_custkey AS ref, kind, 'C' || (c_custkey % 50) AS name, iso3 AS country, CASE WHEN c_custkey % 40 < 25 THEN 'place:admin1:S-' || (c_custkey % 40) ELSE 'place:country:' || iso3 END AS parent_ref
     FROM (SELECT *, CASE WHEN c_custkey % 4 = 3 THEN 'admin2' ELSE 'city' END AS kind FROM customer WHERE c_custkey % 9 > 0 AND c_custkey % 4 <> 2) JOIN (SELECT n_nationkey, upper(substr(n_name, 1, 3)) || n_nationkey AS iso3 FROM nation) ON n_nationkey = c_nationkey""")
 def city_places(spark, sf_dir):
