@@ -40,28 +40,28 @@ MONTH = "struct<_num:int,_VALUE:string>"
 PLAYER = (
     "`_ref` string, `ctml:name` struct<`_display`:string,`ctml:family`:string,`ctml:given`:array<string>,`ctml:suffix`:string>, `ctml:federation` string, `ctml:title` array<string>, `ctml:sex` string, "
     "`ctml:ids` struct<`ctml:fideId`:string,`ctml:internalId`:array<string>>, `ctml:birthDate` struct<`ctml:year`:struct<`_y`:int,`_VALUE`:string>>, "
-    "`ctml:aliases` struct<`ctml:alias`:array<struct<`ctml:name`:struct<`_display`:string,`ctml:family`:string,`ctml:given`:array<string>,`ctml:suffix`:string>>>>, "
-    "`ctml:ratingHistory` struct<`ctml:ratingTrack`:struct<`_system`:string,`ctml:current`:struct<`ctml:value`:int>,"
+    "`ctml:aliases` struct<`ctml:alias`:array<struct<`_display`:string,`ctml:family`:string,`ctml:given`:array<string>,`ctml:suffix`:string>>>, "
+    "`ctml:ratingHistory` struct<`ctml:ratingTrack`:struct<`_system`:string,`ctml:current`:int,"
     "`ctml:peak`:struct<`ctml:value`:int,`ctml:achieved`:struct<`ctml:month`:struct<`_y`:int,`_m`:int,`_VALUE`:string>>>,"
-    "`ctml:history`:struct<`ctml:year`:array<struct<`_value`:int,`ctml:month`:array<struct<`_num`:int,`_VALUE`:int>>>>>>>"
+    "`ctml:history`:struct<`ctml:year`:array<struct<`_value`:int,`ctml:month`:array<struct<`_num`:int,`_VALUE`:string>>>>>>>"
 )
 
 
 def read_player_registry(spark: SparkSession, path: str) -> DataFrame:
     """Player registry shards: ref, fide_id, display, family, given, suffix, federation, titles, female, birth_year, ids, aliases (family, given,
-    suffix), rating_system, current_rating, peak, peak_year, peak_month and history (year and its months with ratings). Players are read a
+    suffix), rating_system, current_rating, peak, peak_year, peak_month and history (year and its months with ratings, null for unrated ones). Players are read a
     shard at a time by the row tag; path may hold wildcards."""
     raw = spark.read.schema(PLAYER).option("rowTag", "ctml:player").format("xml").load(path)
     at = lambda p: F.col(".".join(f"`{x if x.startswith('_') else 'ctml:' + x}`" for x in p.split(".")))
     name = lambda n: F.struct(F.coalesce(n["ctml:family"], F.lit("")).alias("family"), F.coalesce(n["ctml:given"], F.array().cast("array<string>")).alias("given"), n["ctml:suffix"].alias("suffix"))
     own, none = name(F.col("`ctml:name`")), F.array().cast("array<string>")
     track = "ratingHistory.ratingTrack"
-    aliases = F.coalesce(F.transform(at("aliases.alias"), lambda a: name(a["ctml:name"])), F.array().cast("array<struct<family:string,given:array<string>,suffix:string>>"))
-    years = F.transform(at(f"{track}.history.year"), lambda y: F.struct(y["_value"].alias("year"), F.transform(y["ctml:month"], lambda m: F.struct(m["_num"].alias("month"), m["_VALUE"].alias("rating"))).alias("months")))
+    aliases = F.coalesce(F.transform(at("aliases.alias"), name), F.array().cast("array<struct<family:string,given:array<string>,suffix:string>>"))
+    years = F.transform(at(f"{track}.history.year"), lambda y: F.struct(y["_value"].alias("year"), F.transform(y["ctml:month"], lambda m: F.struct(m["_num"].alias("month"), m["_VALUE"].try_cast("int").alias("rating"))).alias("months")))
     return raw.select(
         F.col("`_ref`").alias("ref"), at("ids.fideId").alias("fide_id"), at("name._display").alias("display"), own["family"].alias("family"), own["given"].alias("given"), own["suffix"].alias("suffix"),
         at("federation").alias("federation"), F.coalesce(at("title"), none).alias("titles"), F.coalesce(F.lower(at("sex")).isin("f", "female"), F.lit(False)).alias("female"), at("birthDate.year._y").alias("birth_year"),
-        F.coalesce(at("ids.internalId"), none).alias("ids"), aliases.alias("aliases"), at(f"{track}._system").alias("rating_system"), at(f"{track}.current.value").alias("current_rating"), at(f"{track}.peak.value").alias("peak"),
+        F.coalesce(at("ids.internalId"), none).alias("ids"), aliases.alias("aliases"), at(f"{track}._system").alias("rating_system"), at(f"{track}.current").alias("current_rating"), at(f"{track}.peak.value").alias("peak"),
         at(f"{track}.peak.achieved.month._y").alias("peak_year"), at(f"{track}.peak.achieved.month._m").alias("peak_month"), F.coalesce(years, F.array().cast("array<struct<year:int,months:array<struct<month:int,rating:int>>>>")).alias("history"))
 
 

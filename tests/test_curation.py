@@ -136,8 +136,8 @@ def test_best_and_merged(spark):
 REGISTRY = """<?xml version="1.0" encoding="UTF-8"?>
 <ctml:players xmlns:ctml="urn:ctml:2.0">
   <ctml:player ref="player:fide:1000"><ctml:name display="Doe, John Paul"><ctml:family>Doe</ctml:family><ctml:given>John</ctml:given><ctml:given>Paul</ctml:given></ctml:name><ctml:federation>USA</ctml:federation><ctml:title>GM</ctml:title><ctml:ids><ctml:fideId>1000</ctml:fideId><ctml:internalId>edo:4</ctml:internalId></ctml:ids>
-    <ctml:birthDate><ctml:year y="1970"/></ctml:birthDate><ctml:aliases><ctml:alias><ctml:name display="Doe, J"><ctml:family>Doe</ctml:family><ctml:given>J</ctml:given></ctml:name></ctml:alias></ctml:aliases>
-    <ctml:ratingHistory><ctml:ratingTrack system="fide"><ctml:current><ctml:value>2405</ctml:value></ctml:current><ctml:peak><ctml:value>2410</ctml:value><ctml:achieved><ctml:month y="2001" m="4"/></ctml:achieved></ctml:peak><ctml:history><ctml:year value="2001"><ctml:month num="1">2400</ctml:month><ctml:month num="4">2410</ctml:month><ctml:month num="12">2405</ctml:month></ctml:year></ctml:history></ctml:ratingTrack></ctml:ratingHistory></ctml:player>
+    <ctml:birthDate><ctml:year y="1970"/></ctml:birthDate><ctml:aliases><ctml:alias display="Doe, J"><ctml:family>Doe</ctml:family><ctml:given>J</ctml:given></ctml:alias></ctml:aliases>
+    <ctml:ratingHistory><ctml:ratingTrack system="fide"><ctml:current>2405</ctml:current><ctml:peak><ctml:value>2410</ctml:value><ctml:achieved><ctml:month y="2001" m="4"/></ctml:achieved></ctml:peak><ctml:history><ctml:year value="2001"><ctml:month num="1">2400</ctml:month><ctml:month num="2">?</ctml:month><ctml:month num="4">2410</ctml:month><ctml:month num="12">2405</ctml:month></ctml:year></ctml:history></ctml:ratingTrack></ctml:ratingHistory></ctml:player>
   <ctml:player ref="player:fide:2000"><ctml:name display="Roe"><ctml:family>Row</ctml:family></ctml:name><ctml:sex>F</ctml:sex><ctml:ids><ctml:fideId>2000</ctml:fideId></ctml:ids></ctml:player>
   <ctml:player ref="player:fide:3000"><ctml:name display="Poe"><ctml:family>Poe</ctml:family></ctml:name><ctml:ids><ctml:fideId>3000</ctml:fideId></ctml:ids></ctml:player>
 </ctml:players>"""
