@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from castellan.operators import checks, clustering, places, players, registries, screening
+from castellan.sinks.files import write_each
+from castellan.sinks.registries import place_shards
 from castellan.sources import facts, lines, registry
 from castellan.sources.games import merge_games
 from castellan.workspace import new_path
@@ -204,3 +206,24 @@ def base_inspection(spark, sf_dir):
     value = rows(spark, sf_dir, "customer", "explode(element_at(array(array('x~y~'), array('@PLAYER', ' @Site x'), array('@event', '@other'), array('@Player', '@x y')), cast(1 + c_custkey % 4 as int))) as value")
     value = value.select(F.replace("value", F.lit("~"), F.lit("�")).alias("value"))
     return checks.base_problems(value).withColumn("generated", F.array_join("generated", ","))
+
+
+PLACES = """WITH n AS (SELECT n_nationkey, n_name, upper(substr(n_name, 1, 3)) || n_nationkey AS iso3 FROM nation), p AS (
+      SELECT 'place:country:' || iso3 AS ref, 'country' AS kind, n_name AS name, iso3 AS country, NULL AS parent FROM n
+      UNION ALL SELECT 'place:city:' || iso3 || '-' || c_custkey, 'city', c_name || ' & co', iso3, 'place:country:' || iso3 FROM customer JOIN n ON n_nationkey = c_nationkey) """
+
+
+@query(PLACES + """SELECT CASE kind WHEN 'country' THEN 'places-countries' ELSE 'places-cities-' || country END AS file, count(*) AS records, count(parent) AS with_parent, count(*) AS counted, count(parent) AS parents_counted, min(ref) AS first, max(name) AS last FROM p GROUP BY 1""")
+def place_registry_files(spark, sf_dir):
+    """Nations and customers written as place registries by kind and country, read back as places and counted by their tags."""
+    n = rows(spark, sf_dir, "nation", "n_nationkey", "n_name as name", "upper(substr(n_name, 1, 3)) || n_nationkey as country")
+    c = rows(spark, sf_dir, "customer", "c_custkey", "c_nationkey", "c_name || ' & co' as name").join(n.drop("name"), F.col("c_nationkey") == F.col("n_nationkey"))
+    p = n.selectExpr("'place:country:' || country as ref", "'country' as kind", "name", "country", "cast(null as string) as parent").unionByName(c.selectExpr("'place:city:' || country || '-' || c_custkey as ref", "'city' as kind", "name", "country", "'place:country:' || country as parent"))
+    p = p.withColumn("xml", places.place_element(F.col("ref"), F.col("kind"), F.col("name"), {"country": F.col("country"), "parentRef": F.col("parent")}))
+    folder = new_path(spark, "places")
+    write_each(place_shards(p), folder)
+    file = lambda c: F.regexp_extract(c, r"([^/]*)\.xml$", 1).alias("file")
+    back = registry.read_places(spark, f"{folder}/*.xml").select(F.when(F.col("kind") == "country", "places-countries").otherwise(F.concat(F.lit("places-cities-"), "country")).alias("file"), "ref", "name", "parentRef")
+    back = back.groupBy("file").agg(F.count("*").alias("records"), F.count("parentRef").alias("with_parent"), F.min("ref").alias("first"), F.max("name").alias("last"))
+    tags = registry.element_counts(spark, f"{folder}/*.xml", "place", "parentRef").select(file("file"), F.col("records").alias("counted"), F.col("sub_records").alias("parents_counted"))
+    return back.join(tags, "file")

@@ -15,12 +15,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from castellan.functions import text
-from castellan.workspace import hadoop
+from castellan.workspace import hadoop, keep
 
 
 def write_each(docs: DataFrame, folder: str, name: str = "file_name", body: str = "xml", suffix: str = ".xml") -> DataFrame:
-    """Write each row's body to folder under its name, which must be unique (see registries.unique_names). Returns name and bytes, a row a file; the
-    files are there once an action has run on it."""
+    """Write each row's body to folder under its name, which must be unique (see registries.unique_names). Returns name and bytes, a row a file: the files are there when it
+    does, and reading what it returned writes nothing again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = fs.FileSystem.from_uri(folder)
@@ -36,7 +36,7 @@ def write_each(docs: DataFrame, folder: str, name: str = "file_name", body: str
                 sizes.append(len(data))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64())], ["name", "bytes"])
 
-    return docs.select(F.col(name).cast("string"), F.col(body).cast("string")).mapInArrow(run, "name string, bytes bigint")
+    return keep(docs.select(F.col(name).cast("string"), F.col(body).cast("string")).mapInArrow(run, "name string, bytes bigint"), "written-files")
 
 
 def wipe(spark, folder: str) -> None:

@@ -51,6 +51,20 @@ def player_shards(records: DataFrame, shard_records: int = 25_000) -> DataFrame:
     return shards.select(F.concat(F.lit("players-"), "letter", F.when(F.col("shard") > 0, F.concat(F.lit("-"), F.col("shard") + 1)).otherwise("")).alias("file_name"), xml.alias("xml"), "records")
 
 
+def place_shards(places: DataFrame, xml: str = "xml", order: str = "ref", shard_records: int = 100_000) -> DataFrame:
+    """file_name, xml and records of place registries: countries, states (first-level divisions), and of everything else a file for each country's code, numbered where it has many records.
+
+    places: kind, country (its code) and each place's element (see places.place_element); a place without a country goes to a file of those."""
+    name = F.when(F.col("kind") == "country", "places-countries").when(F.col("kind") == "admin1", "places-states").otherwise(F.concat(F.lit("places-cities-"), F.coalesce(F.nullif("country", F.lit("")), F.lit("NONE"))))
+    r = positioned(places.select(name.alias("name"), F.col(order).alias("nth"), F.col(xml).alias("x")), ["name", "nth"])
+    first = r.groupBy(F.col("name").alias("n")).agg(F.min("position").alias("first"))
+    r = r.join(first, F.col("name") == F.col("n")).withColumn("shard", F.floor((F.col("position") - F.col("first")) / shard_records))
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("position", "x"))), lambda s: s["x"]), "\n")
+    shards = r.groupBy("name", "shard").agg(body.alias("body"), F.count("*").alias("records"))
+    whole = F.concat(F.lit(f'<?xml version="1.0" encoding="UTF-8"?>\n<ctml:placeRegistry xmlns:ctml="{NAMESPACE}" ctmlVersion="2.0">\n'), "body", F.lit("\n</ctml:placeRegistry>\n"))
+    return shards.select(F.concat("name", F.when(F.col("shard") > 0, F.concat(F.lit("-"), F.col("shard") + 1)).otherwise("")).alias("file_name"), whole.alias("xml"), "records")
+
+
 def section_rows(entries: DataFrame) -> DataFrame:
     """Entries (canonical, aliases) in order of folded name, one text a row: the name, and its aliases indented below."""
     below = F.transform("aliases", lambda a: F.concat(F.lit("  = "), a))

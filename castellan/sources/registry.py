@@ -35,6 +35,14 @@ def count_records(spark: SparkSession, path: str, row_tag: str) -> DataFrame:
     return raw.select(F.input_file_name().alias("file")).agg(F.count("*").alias("records"), F.count_distinct("file").alias("shards"))
 
 
+def element_counts(spark: SparkSession, path: str, record: str, sub: str | None = None) -> DataFrame:
+    """file, records and sub_records of registry shards: start tags by local name, whatever their prefix, counted in byte ranges of lines; nothing is parsed as a document. Comments of one line do not count."""
+    plain = F.regexp_replace("value", "<!--.*?-->", "")
+    found = lambda name: F.sum(F.regexp_count(plain, F.lit(rf"<(?:[\w.-]+:)?{name}(?=[\s/>]|$)"))).cast("bigint")
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    return lines.groupBy("file").agg(found(record).alias("records"), (found(sub) if sub else F.lit(0).cast("bigint")).alias("sub_records"))
+
+
 NAME = "struct<_display:string,family:string,given:array<string>,suffix:string>"
 MONTH = "struct<_num:int,_VALUE:string>"
 PLAYER = (

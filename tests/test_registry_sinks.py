@@ -4,9 +4,9 @@ import pytest
 
 from castellan.operators.registries import player_records
 from castellan.sinks.files import write_each
-from castellan.sinks.registries import BANNER, CLOSING, player_shards, write_enriched
+from castellan.sinks.registries import BANNER, CLOSING, place_shards, player_shards, write_enriched
 from castellan.sources.players import read_players
-from castellan.sources.registry import read_player_registry
+from castellan.sources.registry import element_counts, read_player_registry
 
 SSP = """@PLAYER "x"
 Doe, John Paul Jr. #GM+IM USA [2402] 1970.??.??
@@ -58,3 +58,16 @@ def test_sections_equal_a_sequential_writer(spark, tmp_path, base):
     want = base + (b"\r\n" if base and not base.endswith(b"\n") else b"") + "".join(f"{x}\r\n" for x in lines).encode()
     assert (tmp_path / "out" / "enriched.ssp").read_bytes() == want and size == len(want)
     assert [p.name for p in (tmp_path / "out").iterdir() if not p.name.endswith(".crc")] == ["enriched.ssp"]
+
+
+def test_place_shards_and_counts(spark, tmp_path):
+    rows = [("r1", "country", "AAA"), ("r2", "admin1", "AAA"), ("r3", "city", "AAA"), ("r5", "admin2", "AAA"), ("r4", "city", "AAA"), ("r6", "city", None), ("r7", "city", "BBB")]
+    p = spark.createDataFrame(rows, "ref string, kind string, country string").selectExpr("*", "'<ctml:place ref=\"' || ref || '\"><ctml:name/><!-- <ctml:place> --></ctml:place>' as xml")
+    shards = place_shards(p, shard_records=2)
+    written = write_each(shards, f"file://{tmp_path}/places")
+    assert sorted(r.name for r in written.collect()) == ["places-cities-AAA", "places-cities-AAA-2", "places-cities-BBB", "places-cities-NONE", "places-countries", "places-states"]
+    before = {f.name: f.stat().st_mtime_ns for f in (tmp_path / "places").iterdir()}
+    assert written.count() == 6 and {f.name: f.stat().st_mtime_ns for f in (tmp_path / "places").iterdir()} == before
+    n = {r.file.rpartition("/")[2]: (r.records, r.sub_records) for r in element_counts(spark, f"file://{tmp_path}/places/*.xml", "place", "name").collect()}
+    assert n["places-cities-AAA.xml"] == (2, 2) and sum(x for x, _ in n.values()) == 7
+    assert "r3" in (tmp_path / "places" / "places-cities-AAA.xml").read_text() and "r5" in (tmp_path / "places" / "places-cities-AAA-2.xml").read_text()
