@@ -5,12 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from castellan.functions import dates
+
 
 def out_of_order(df: DataFrame, start: Column, end: Column) -> DataFrame:
     """Rows whose start is after their end, where both are known."""
     return df.filter(start > end)
 
 
+def dates_out_of_order(df: DataFrame, start: Column, end: Column) -> DataFrame:
+    """Rows whose partial dates are both days of the calendar and the start is after the end; a date of a year or month alone says nothing about order."""
+    return df.filter(dates.iso(start) > dates.iso(end))
+
+
 def same_both_sides(df: DataFrame, one: str, other: str) -> DataFrame:
     return df.filter(F.col(one) == F.col(other))
 

@@ -69,3 +69,10 @@ def manifest(rows: DataFrame, key: str, order: str) -> DataFrame:
     k = F.trim(key)
     first = rows.filter(k.rlike("^[0-9]+$")).withColumn("_k", k).groupBy("_k").agg(F.min_by(F.struct(*rows.columns), order).alias("r"))
     return first.select("r.*", *(export_url(F.col("_k"), q).alias(f"{n.replace(' ', '_')}_url") for n, q in EXPORT.items()))
+
+
+def seed_urls(rows: DataFrame, key: str, order: str) -> DataFrame:
+    """url of every page to fetch for a manifest's keys, each once: kinds of page in the order of EXPORT, keys by the order of their first row."""
+    m = manifest(rows, F.col(key), order)
+    kinds = [F.struct(F.lit(i).alias("kind"), F.col(f"{n.replace(' ', '_')}_url").alias("url")) for i, n in enumerate(EXPORT)]
+    return m.select(F.col(order).alias("_first"), F.explode(F.array(*kinds)).alias("u")).groupBy("u.url").agg(F.min("u.kind").alias("kind"), F.min("_first").alias("first"))

@@ -303,8 +303,8 @@ def argmax_record(spark, sf_dir):
 
 @query("union_lists", "SELECT o_custkey, string_agg(o_orderpriority, '+' ORDER BY f) AS priorities FROM (SELECT o_custkey, o_orderpriority, min(o_orderkey) AS f FROM orders GROUP BY 1, 2) GROUP BY 1")
 def union_lists(spark, sf_dir):
-    first = table(spark, sf_dir, "orders").groupBy("o_custkey", "o_orderpriority").agg(F.min("o_orderkey").alias("f"))
-    return first.groupBy("o_custkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("f", "o_orderpriority"))), lambda x: x["o_orderpriority"]), "+").alias("priorities"))
+    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", F.array("o_orderpriority").alias("one"))
+    return o.groupBy("o_custkey").agg(F.array_join(registries.ordered_distinct("one", ["o_orderkey"]), "+").alias("priorities"))
 
 
 @query("unique_claim_alias", "WITH a AS (SELECT p_name || ' ' || p_type || ' ' || p_size AS alias, p_brand, p_partkey FROM part) SELECT alias, min(p_brand) AS target FROM a WHERE alias NOT IN (SELECT alias FROM a WHERE p_partkey % 7 = 0) GROUP BY 1 HAVING count(DISTINCT p_brand) = 1")

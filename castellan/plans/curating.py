@@ -227,3 +227,21 @@ def place_registry_files(spark, sf_dir):
     back = back.groupBy("file").agg(F.count("*").alias("records"), F.count("parentRef").alias("with_parent"), F.min("ref").alias("first"), F.max("name").alias("last"))
     tags = registry.element_counts(spark, f"{folder}/*.xml", "place", "parentRef").select(file("file"), F.col("records").alias("counted"), F.col("sub_records").alias("parents_counted"))
     return back.join(tags, "file")
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey % 4 > 0 AND o_orderkey % 5 > 0 AND o_orderkey % 3 = 0 AND o_orderkey % 9 > 0")
+def dates_out_of_order(spark, sf_dir):
+    """Orders with a start and an end: a third end early, by 1 to 8 days; a fourth of the starts is a month only, a fifth of the ends no day of the calendar."""
+    day = "named_struct('y', year({0}), 'm', month({0}), 'd', {1})"
+    start = day.format("o_orderdate", "if(o_orderkey % 4 = 0, cast(null as int), day(o_orderdate))")
+    other = "date_add(o_orderdate, cast(if(o_orderkey % 3 = 0, -(o_orderkey % 9), o_orderkey % 9) as int))"
+    end = day.format(other, f"if(o_orderkey % 5 = 0, 99, day({other}))")
+    o = rows(spark, sf_dir, "orders", "o_orderkey", f"{start} as start", f"{end} as end")
+    return checks.dates_out_of_order(o, F.col("start"), F.col("end")).select("o_orderkey")
+
+
+@query("""WITH m AS (SELECT CAST(o_custkey AS VARCHAR) AS k, min(o_orderkey) AS first FROM orders WHERE o_orderkey % 4 <> 2 GROUP BY 1)
+    SELECT 'https://chess-results.com/tnr' || k || '.aspx?lan=1' || v.q AS url, v.kind, first FROM m, (VALUES (0, ''), (1, '&art=0'), (2, '&art=4')) AS v(kind, q)""")
+def seed_urls(spark, sf_dir):
+    m = rows(spark, sf_dir, "orders", "if(o_orderkey % 4 = 2, 'x', if(o_orderkey % 4 = 1, ' ', '')) || o_custkey as key", "o_orderkey as first")
+    return screening.seed_urls(m, "key", "first")
