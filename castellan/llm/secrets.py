@@ -136,7 +136,11 @@ def spans_of(text: str | None, a: ahocorasick.Automaton) -> list[tuple[int, int,
                 found.append((*(m.span(1) if RULES[i].kind in ("card", "iban") else m.span()), RULES[i].kind))
                 break
     if found and not data.isascii():
-        at = {b: len(data[:b].decode("utf-8", "surrogatepass")) for s in found for b in s[:2]}
+        at, done_to, chars = {}, 0, 0
+        for b in sorted({b for s in found for b in s[:2]}):  # each piece is decoded once
+            chars += len(data[done_to:b].decode("utf-8", "surrogatepass"))
+            at[b] = chars
+            done_to = b
         found = [(at[s], at[e], k) for s, e, k in found]
     return sorted(found, key=lambda x: (x[0], KINDS.index(x[2]), x[1]))
 
