@@ -103,3 +103,13 @@ def test_level_order_bits():
     assert found["depth"].tolist() == [0, 1, 1, 2, 2, 2] and found["p1"].tolist() == [0, 0, 0, 1, 1, 4]
     assert found["n"].tolist() == [6, 3, 3, 1, 2, 3] and found["conv"].tolist() == [5, 5, 6, 7, 5, 6]
     assert found["s1"].tolist() == [12, 6, 6, 1, 2, 3] and found["leaves"].tolist() == [3, 2, 1, 1, 1, 1]
+
+
+def test_sql_gives_the_same_nodes(spark):
+    from castellan.llm.oracles import ORACLES
+
+    con = duckdb.connect()
+    con.sql(f"create view conversations as select * from '{SF}/conversations.parquet'")
+    df = QUERIES["op12_trie"](spark, SF)
+    want = con.sql(f"select {', '.join(df.columns)} from ({ORACLES['op12_trie']})").fetchall()
+    assert rows_of(df) == sorted(want)
