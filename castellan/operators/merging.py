@@ -26,7 +26,7 @@ def insert_only(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFra
 
 
 def first_non_null(df: DataFrame, keys: list[str], order: list[str], fields: list[str]) -> DataFrame:
-    """For each key and field the first value by order that is neither null nor, in a string, empty."""
+    """For each key and field the first value by order that is neither null nor, in a string, empty. Rows that order leaves level give either's value: it should tell all rows of a key apart."""
     by = F.struct(*order)
     present = {f: F.when(F.col(f) != "", F.col(f)) if df.schema[f].dataType.simpleString() == "string" else F.col(f) for f in fields}
     return df.groupBy(*keys).agg(*[F.min_by(v, F.when(v.isNotNull(), by)).alias(f) for f, v in present.items()])

@@ -291,8 +291,9 @@ def insert_only_merge(spark, sf_dir):
 
 @query("merge_first_non_null", """SELECT l_orderkey, arg_min(CASE WHEN l_discount > 0.03 THEN l_partkey END, (l_linenumber, l_partkey)) AS part, arg_min(CASE WHEN l_returnflag <> 'N' THEN l_returnflag END, (l_linenumber, l_partkey)) AS flag FROM lineitem GROUP BY 1""")
 def merge_first_non_null(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.when(F.col("l_discount") > 0.03, F.col("l_partkey")).alias("part"), F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).otherwise("").alias("flag"))
-    return merging.first_non_null(li, ["l_orderkey"], ["l_linenumber", "l_partkey"], ["part", "flag"])
+    """Lines of one number and part go as they lie in the file, as the SQL takes them."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "_metadata.file_path", "_metadata.row_index", F.when(F.col("l_discount") > 0.03, F.col("l_partkey")).alias("part"), F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).otherwise("").alias("flag"))
+    return merging.first_non_null(li, ["l_orderkey"], ["l_linenumber", "l_partkey", "file_path", "row_index"], ["part", "flag"])
 
 
 @query("argmax_record", "SELECT l_suppkey, l_orderkey, l_linenumber, l_partkey FROM (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_quantity DESC, l_discount DESC, l_orderkey, l_linenumber, l_partkey) AS n FROM lineitem) WHERE n = 1")
