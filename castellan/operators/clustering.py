@@ -82,12 +82,27 @@ def _rare_first(rows: DataFrame, by: list[str], of: list[str], items: str) -> Da
     return each.join(counts, [*by, "_item"]).groupBy(*of, *by).agg(F.transform(listed, lambda x: x["_item"]).alias(items))
 
 
+def _met_by_words(names: DataFrame, least: float) -> DataFrame:
+    """names (year, block, key, words, the rarest first) with n (how many), fewer, more and word: two names of which least of all their words are common have a row of equal fewer, more and word,
+    the one of fewer words with n = fewer, the other with n = more.
+
+    The numbers of words of both tell how many must be common. All of both: the words as a whole meet. All of the one of fewer, and the other has one more: these and the other without
+    one of its words. Else one of so many rarest words that fewer common ones are left behind them."""
+    n, other = F.col("n"), F.col("other")
+    f = names.withColumn("n", F.size("words")).withColumn("other", F.explode(F.sequence(F.ceil(n * least - 1e-9).cast("int"), F.floor(n / least + 1e-9).cast("int"))))
+    f = f.withColumns({"fewer": F.least(n, other), "more": F.greatest(n, other), "common": F.ceil((n + other) * (least / (1 + least)) - 1e-9).cast("int")}).filter("common <= fewer")
+    whole = lambda w: F.array_join(F.array_sort(w), " ")
+    without_one = F.transform(F.sequence(F.lit(1), n), lambda i: whole(F.filter("words", lambda w: w != F.element_at("words", i))))
+    some = F.when((F.col("common") == F.col("fewer")) & (F.col("more") - F.col("fewer") <= 1), F.when(n == F.col("fewer"), F.array(whole(F.col("words")))).otherwise(without_one))
+    return f.select("year", "block", "key", "n", "fewer", "more", F.explode(F.coalesce(some, F.slice("words", F.lit(1), n - F.col("common") + 1))).alias("word"))
+
+
 def linked_in_large_blocks(facts: DataFrame) -> DataFrame:
     """a, b: links whose components are those of linked_facts(facts, None), for blocks of any size, without a block's pairs.
 
     Records of one year, month and name are one unit, tied to its first; one of several units of a name is enough to link them to another name. A similarity of 0.94 needs 0.829 of
-    the words to be shared, so both names have one of their rarest few words in common (a prefix filter: two sets that share a part of their items share one of the first so many of
-    them in any order). A similarity of 0.62 counts with half of the smaller roster shared, so the rosters, by units of equal roster, have one of the smaller one's rarer
+    the words of both to be shared: up to ten words those of one name are all among the other's, which has one more at most, beyond that both have one of their rarest few words in common (a prefix
+    filter: two sets that share a part of their items share one of the first so many of them in any order). A similarity of 0.62 counts with half of the smaller roster shared, so the rosters, by units of equal roster, have one of the smaller one's rarer
     half in common. Only such candidates are matched, each pair of names once. The matcher depends on the order of its arguments, the earlier record's name first: a unit's
     first and last record tell whether a pair in either order is among theirs."""
     ref = F.coalesce(F.col("event_ref"), F.lit(""))
@@ -114,10 +129,8 @@ def linked_in_large_blocks(facts: DataFrame) -> DataFrame:
         return p.withColumns({"xy": similarity(F.col("x_key"), F.col("y_key")), "yx": similarity(F.col("y_key"), F.col("x_key"))}).filter((F.col("xy") >= least) | (F.col("yx") >= least))
 
     names = units.select("year", "block", "key").distinct().withColumn("words", F.array_distinct(F.split("key", " ")))
-    words = _rare_first(names, ["year", "block"], ["key"], "words")
-    # of n words, ceil(0.829 n) must be shared
-    words = words.select("year", "block", "key", F.explode(F.slice("words", 1, (F.size("words") - F.ceil(F.size("words") * (0.29 / 0.35) - 1e-9) + 1).cast("int"))).alias("word"))
-    met = side(words, "x").join(side(words, "y"), F.expr("x_year = y_year and x_block = y_block and x_word = y_word and x_key < y_key"))
+    words = _met_by_words(_rare_first(names, ["year", "block"], ["key"], "words"), 0.29 / 0.35)
+    met = side(words.filter("n = fewer"), "x").join(side(words.filter("n = more"), "y"), F.expr("x_year = y_year and x_block = y_block and x_fewer = y_fewer and x_more = y_more and x_word = y_word and (x_fewer < x_more or x_key < y_key)"))
     alike = keep(matched(met, 0.94), "alike-names")
     in_order = lambda least: F.expr(f"(x_low < y_high and xy >= {least}) or (y_low < x_high and yx >= {least})")
     names_linked = side(units, "x").join(alike, "x_key").join(side(units, "y"), ["y_key"]).filter(F.expr(f"x_year = y_year and {near}") & in_order(0.94)).select(*link)
