@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from castellan.operators import checks, clustering, places, players, registries, screening
@@ -85,17 +85,27 @@ def openings_file(spark, sf_dir):
     return registry.read_openings(spark, path)
 
 
+#: About how many order lines lie in one file of crosstables.
+LINES_A_FILE = 32768
+
+
 @query("""SELECT 'E ' || l_orderkey AS name, 'r' || l_orderkey AS tid, 'src' AS source, CAST(strftime(min(l_shipdate), '%Y%m%d') AS INT) AS day, count(*) AS people, sum(CAST(l_quantity AS BIGINT)) AS ratings, count(*) FILTER (l_suppkey % 2 = 0) AS known
     FROM lineitem GROUP BY l_orderkey HAVING l_orderkey % 10 > 0""")
 def crosstable_files(spark, sf_dir):
-    """Orders written as arrays of crosstables, read as facts: those without a start and players without a name are left out."""
+    """Orders written as arrays of crosstables, read as facts: those without a start and players without a name are left out.
+
+    A reader takes in a file whole, so there are more files, not longer ones, where there are more lines. Each is written a crosstable at a time."""
     player = "named_struct('rank', cast(l_linenumber as bigint), 'name', ' P  ' || l_suppkey, 'fed', 'USA', 'title', '', 'rating', cast(l_quantity as bigint), 'score', cast(1.5 as double), 'fide_id', if(l_suppkey % 2 = 0, cast(10000 + l_suppkey as string), ''), 'ref', '')"
     li = rows(spark, sf_dir, "lineitem", "l_orderkey", "l_shipdate", f"{player} as p")
     t = li.groupBy("l_orderkey").agg(F.collect_list("p").alias("players"), F.min("l_shipdate").cast("date").cast("string").alias("start"))
     nameless = "if(l_orderkey % 3 = 0, concat(players, transform(slice(players, 1, 1), p -> named_struct('rank', p.rank, 'name', '  ', 'fed', p.fed, 'title', p.title, 'rating', p.rating, 'score', p.score, 'fide_id', p.fide_id, 'ref', p.ref))), players)"
-    t = t.selectExpr("l_orderkey % 16 as part", f"to_json(named_struct('event', 'E ' || l_orderkey, 'format', 'swiss', 'source', 'src', 'ref', 'r' || l_orderkey, 'start', if(l_orderkey % 10 = 0, '', start), 'players', {nameless})) as j")
+    parts = max(16, rows(spark, sf_dir, "lineitem").count() // LINES_A_FILE)
+    t = t.selectExpr(f"pmod(xxhash64(l_orderkey), {parts}) as part", "l_orderkey", f"to_json(named_struct('event', 'E ' || l_orderkey, 'format', 'swiss', 'source', 'src', 'ref', 'r' || l_orderkey, 'start', if(l_orderkey % 10 = 0, '', start), 'players', {nameless})) as j")
     path = new_path(spark, "crosstables")
-    t.groupBy("part").agg(F.concat(F.lit("["), F.array_join(F.collect_list("j"), ",\n"), F.lit("]")).alias("value")).write.partitionBy("part").text(path)
+    within = Window.partitionBy("part").orderBy("l_orderkey")
+    t = t.withColumns({"n": F.row_number().over(within), "last": F.lead(F.lit(False), 1, True).over(within)})
+    array = t.sortWithinPartitions("part", "n").selectExpr("part", "if(n = 1, '[', ',') || j || if(last, ']', '') as value")
+    array.write.partitionBy("part").text(path)
     f = facts.crosstable_facts(spark, f"{path}/*/*.txt")
     day = F.col("start.y") * 10000 + F.col("start.m") * 100 + F.col("start.d")
     return f.select("name", "tid", "source", day.alias("day"), F.size("participants").cast("bigint").alias("people"), F.aggregate("participants", F.lit(0).cast("bigint"), lambda a, p: a + p["rating"]).alias("ratings"), F.size(F.filter("participants", lambda p: p["ref"].startswith("player:fide:"))).cast("bigint").alias("known"))
