@@ -60,7 +60,9 @@ def playable(games: DataFrame) -> DataFrame:
 def merge_games(existing: DataFrame, new: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """What to add to existing games and what diverges from them. keys name a slot (event, players, round); an equal trajectory is the same
     game, another one in a taken slot is a divergence and the existing game stands."""
-    taken = existing.select(*keys, F.col("trajectory_fp").alias("_fp"))
-    added = new.join(taken.select(*keys).distinct(), keys, "left_anti").dropDuplicates([*keys, "trajectory_fp"])
-    diverging = new.join(taken, keys).groupBy(*keys, "trajectory_fp").agg(F.bool_or(F.col("_fp") == F.col("trajectory_fp")).alias("same")).filter("not same").drop("same")
+    taken = existing.select(*keys, "trajectory_fp").distinct()
+    added = new.dropDuplicates([*keys, "trajectory_fp"]).join(taken.select(*keys).distinct(), keys, "left_anti")
+    played = taken.filter("trajectory_fp is not null")
+    others = new.select(*keys, "trajectory_fp").filter("trajectory_fp is not null").distinct()
+    diverging = others.join(played.select(*keys).distinct(), keys, "left_semi").join(played, [*keys, "trajectory_fp"], "left_anti")
     return added, diverging
