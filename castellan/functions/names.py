@@ -16,7 +16,11 @@ SHORT_TITLES = {"G": "GM", "M": "IM", "F": "FM", "C": "CM", "N": "NM"}
 def split_name(display: Column, extract_suffix: bool = True) -> Column:
     """Struct of family, given and suffix. With a comma the family stands before it and a last word that is a suffix is taken off; without
     one the last word is the family."""
-    d = normalize_space(display)
+    return split_normal(normalize_space(display), extract_suffix)
+
+
+def split_normal(d: Column, extract_suffix: bool = True) -> Column:
+    """split_name of a name without superfluous blanks."""
     at = F.locate(",", d)
     words = lambda x: F.filter(F.split(F.trim(x), " "), lambda w: w != "")
     rest = words(F.substr(d, at + 1))
@@ -42,7 +46,11 @@ def title_tokens(token: Column) -> Column:
 
 def normalize_title(raw: Column) -> Column:
     """Struct of title and other, in capitals: a known title, its one-letter form written out, or else the text as other."""
-    upper = F.upper(normalize_space(raw))
+    return title_of(F.upper(normalize_space(raw)))
+
+
+def title_of(upper: Column) -> Column:
+    """normalize_title of a text in capitals without superfluous blanks."""
     t = upper
     for short, title in SHORT_TITLES.items():
         t = F.when(upper == short, title).otherwise(t)
@@ -51,7 +59,11 @@ def normalize_title(raw: Column) -> Column:
 
 
 def normalize_federation(raw: Column) -> Column:
-    f = F.upper(normalize_space(raw))
+    return federation_of(F.upper(normalize_space(raw)))
+
+
+def federation_of(f: Column) -> Column:
+    """normalize_federation of a text in capitals without superfluous blanks."""
     return F.when(f.rlike("^[A-Z]{3}$"), f).otherwise("")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from html import unescape
 from html.parser import HTMLParser
 from urllib.parse import urljoin
@@ -16,6 +17,11 @@ def normalize_space(x: Column) -> Column:
     return F.trim(F.regexp_replace(x, r"(?U)\s+", " "))
 
 
+def bound(values: dict[str, Column], use: Callable[[Column], Column]) -> Column:
+    """use of a struct of values, each of them computed once however often it is used, in lambdas too. No Python functions in either."""
+    return F.transform(F.array(F.struct(*[v.alias(n) for n, v in values.items()])), use)[0]
+
+
 def slug(x: Column, fallback: str = "unknown") -> Column:
     """Lower-case letters and digits; white space, underscores and hyphens become single hyphens, anything else goes."""
     kept = F.regexp_replace(F.lower(normalize_space(x)), r"[^\p{IsAlphabetic}\p{N}\s_-]", "")

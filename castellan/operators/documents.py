@@ -33,12 +33,19 @@ def date_element(name: str, date: Column) -> Column:
 
 def person_element(display: Column, indent: int = 8, extract_suffix: bool = True) -> Column:
     """A name in parts; a blank one is Unknown."""
-    shown = F.coalesce(F.nullif(text.normalize_space(display), F.lit("")), F.lit("Unknown"))
-    n, pad = names.split_name(shown, extract_suffix), " " * indent
-    given = F.nullif(F.array_join(F.transform(n["given"], lambda g: F.concat(F.lit(f"{pad}  <ctml:given>"), text.esc(g), F.lit("</ctml:given>"))), "\n"), F.lit(""))
-    known = lines(F.concat(F.lit(f"{pad}  <ctml:family>"), text.esc(n["family"]), F.lit("</ctml:family>")), given, tag(indent + 2, "suffix", n["suffix"]))
-    unknown = (n["family"] == "") & (F.size(n["given"]) == 0)
-    return lines(F.concat(F.lit(f'{pad}<ctml:name display="'), text.esc(shown), F.lit('">')), F.when(unknown, f"{pad}  <ctml:unstructured>Unknown</ctml:unstructured>").otherwise(known), f"{pad}</ctml:name>")
+    pad = " " * indent
+
+    def element(shown: Column, n: Column) -> Column:
+        given = F.nullif(F.array_join(F.transform(n["given"], lambda g: F.concat(F.lit(f"{pad}  <ctml:given>"), text.esc(g), F.lit("</ctml:given>"))), "\n"), F.lit(""))
+        known = lines(F.concat(F.lit(f"{pad}  <ctml:family>"), text.esc(n["family"]), F.lit("</ctml:family>")), given, tag(indent + 2, "suffix", n["suffix"]))
+        unknown = (n["family"] == "") & (F.size(n["given"]) == 0)
+        return lines(F.concat(F.lit(f'{pad}<ctml:name display="'), text.esc(shown), F.lit('">')), F.when(unknown, f"{pad}  <ctml:unstructured>Unknown</ctml:unstructured>").otherwise(known), f"{pad}</ctml:name>")
+
+    def named(v: Column) -> Column:
+        return text.bound({"shown": v["shown"], "n": names.split_normal(v["shown"], extract_suffix)}, lambda w: element(w["shown"], w["n"]))
+
+    spelled = lambda v: F.when(v["d"] != "", v["d"]).otherwise("Unknown")
+    return text.bound({"d": text.normalize_space(display)}, lambda v: text.bound({"shown": spelled(v)}, named))
 
 
 def clean(value: Column) -> Column:
@@ -46,21 +53,28 @@ def clean(value: Column) -> Column:
     return F.nullif(text.normalize_space(value), F.lit(""))
 
 
-def participant_element(p: Column, number: Column, system: Column, start: Column, source: Column, url: Column, resolver: Column) -> Column:
-    """A participant: reference with name, federation, title and ids around it, rating at the start date, seed, score and notes."""
-    name, fed, title = clean(p["name"]), names.normalize_federation(F.coalesce(p["fed"], F.lit(""))), names.normalize_title(F.coalesce(p["title"], F.lit("")))
-    who = names.player_ref(p["ref"], p["fide_id"], name, fed)
-    fide = F.when(names.is_valid_fide_id(F.trim(p["fide_id"])), F.trim(p["fide_id"]))
-    seed = text.int_like(p["seed"]).cast("string")
-    own_id = F.coalesce(text.int_like(p["source_id"]).cast("string"), seed)
-    ids = F.when(fide.isNotNull() | own_id.isNotNull(), lines("        <ctml:ids>", tag(10, "fideId", fide), tag(10, "internalId", F.concat(source, F.lit(":"), own_id)), "        </ctml:ids>"))
-    unresolved = F.when(who["method"] == "unresolved", F.concat(F.lit('        <ctml:resolution method="unresolved" resolver="'), text.esc(resolver), F.lit('"/>')))
-    rating = F.when(p["rating"].isNotNull(), lines(
-        F.concat(F.lit('      <ctml:ratingSnapshot system="'), system, F.lit('" scope="standard">')), tag(8, "value", p["rating"].cast("string")), F.concat(F.lit("        "), date_element("asOf", start)), "      </ctml:ratingSnapshot>"))
-    note = text.notes(rank=p["rank"].cast("string"), raw_title=title["other"], club=clean(p["club"]), sex=clean(p["sex"]))
-    return lines(
-        F.concat(F.lit('    <ctml:participant id="'), F.format_string("p%04d", number), F.lit('">')), F.concat(F.lit("      <ctml:playerRef"), attribute("ref", who["ref"]), attribute("source", url), F.lit(">")), person_element(name),
-        tag(8, "federation", fed), tag(8, "title", title["title"]), ids, unresolved, "      </ctml:playerRef>", rating, tag(6, "seed", seed), tag(6, "score", text.format_g(p["score"])), tag(6, "notes", note), "    </ctml:participant>")
+def participant_element(p: Column, number: Column, system: Column, as_of: Column, source: Column, url: Column, resolver: Column) -> Column:
+    """A participant: reference with name, federation, title and ids around it, rating at the date of as_of (an element), seed, score and notes."""
+    capitals = lambda f: F.upper(text.normalize_space(F.coalesce(p[f], F.lit(""))))
+    plain = {"name": text.normalize_space(p["name"]), "fed": capitals("fed"), "title": capitals("title"), "fide": F.trim(p["fide_id"]), "seed": text.int_like(p["seed"]).cast("string"), "own": text.int_like(p["source_id"]).cast("string")}
+
+    def read(v: Column) -> Column:
+        name, fed = F.nullif(v["name"], F.lit("")), names.federation_of(v["fed"])
+        read = {"name": name, "fed": fed, "title": names.title_of(v["title"]), "who": names.player_ref(p["ref"], p["fide_id"], name, fed), "fide": F.when(names.is_valid_fide_id(v["fide"]), v["fide"]), "seed": v["seed"], "own_id": F.coalesce(v["own"], v["seed"])}
+        return text.bound(read, element)
+
+    def element(v: Column) -> Column:
+        title, who, fide, own_id, seed = v["title"], v["who"], v["fide"], v["own_id"], v["seed"]
+        ids = F.when(fide.isNotNull() | own_id.isNotNull(), lines("        <ctml:ids>", tag(10, "fideId", fide), tag(10, "internalId", F.concat(source, F.lit(":"), own_id)), "        </ctml:ids>"))
+        unresolved = F.when(who["method"] == "unresolved", F.concat(F.lit('        <ctml:resolution method="unresolved" resolver="'), text.esc(resolver), F.lit('"/>')))
+        rating = F.when(p["rating"].isNotNull(), lines(
+            F.concat(F.lit('      <ctml:ratingSnapshot system="'), system, F.lit('" scope="standard">')), tag(8, "value", p["rating"].cast("string")), F.concat(F.lit("        "), as_of), "      </ctml:ratingSnapshot>"))
+        note = text.notes(rank=p["rank"].cast("string"), raw_title=title["other"], club=clean(p["club"]), sex=clean(p["sex"]))
+        return lines(
+            F.concat(F.lit('    <ctml:participant id="'), F.format_string("p%04d", number), F.lit('">')), F.concat(F.lit("      <ctml:playerRef"), attribute("ref", who["ref"]), attribute("source", url), F.lit(">")), person_element(v["name"]),
+            tag(8, "federation", v["fed"]), tag(8, "title", title["title"]), ids, unresolved, "      </ctml:playerRef>", rating, tag(6, "seed", seed), tag(6, "score", text.format_g(p["score"])), tag(6, "notes", note), "    </ctml:participant>")
+
+    return text.bound(plain, read)
 
 
 def usable(tables: DataFrame) -> DataFrame:
@@ -78,7 +92,8 @@ def tournament_documents(tables: DataFrame, order: str = "ord") -> DataFrame:
     t = t.withColumns(own).withColumn("id", text.xml_id(F.lit("t"), F.replace("the_source", F.lit("-"), F.lit("_")), text.slug(F.col("the_ref")), dates.compact(F.col("s"))))
     t = t.withColumn("system", vocabulary.rating_system(F.col("rating_system"))).withColumn("resolver", F.coalesce(clean(F.col("reader")), F.col("the_source")))
     named = F.filter("players", lambda p: clean(p["name"]).isNotNull())
-    people = F.transform(named, lambda p, i: participant_element(p, i + 1, F.col("system"), F.col("s"), F.col("the_source"), F.col("at"), F.col("resolver")))
+    shared = {"system": F.col("system"), "as_of": date_element("asOf", F.col("s")), "source": F.col("the_source"), "url": F.col("at"), "resolver": F.col("resolver")}
+    people = text.bound(shared, lambda v: F.transform(named, lambda p, i: participant_element(p, i + 1, v["system"], v["as_of"], v["source"], v["url"], v["resolver"])))
     kind, place, country = vocabulary.event_format(F.coalesce("format", F.lit(""))), clean(F.col("place")), F.nullif(names.normalize_federation(F.coalesce("country", F.lit(""))), F.lit(""))
     event = F.when(clean(F.col("event_ref")).isNotNull(), lines(F.concat(F.lit("    <ctml:eventRef"), attribute("ref", clean(F.col("event_ref"))), F.lit(">")), tag(6, "name", F.col("name")), "    </ctml:eventRef>"))
     where = F.concat(F.lit("place:raw:"), text.sha1_hex16(F.lower(place)))
@@ -92,8 +107,9 @@ def tournament_documents(tables: DataFrame, order: str = "ord") -> DataFrame:
         "    <ctml:dates>", F.concat(F.lit("      "), date_element("start", F.col("s"))), F.concat(F.lit("      "), date_element("end", F.col("e"))), "    </ctml:dates>", where, "  </ctml:header>",
         "  <ctml:participants>", F.array_join(people, "\n"), "  </ctml:participants>", tag(2, "notes", F.concat_ws(" ", clean(F.col("notes")), team)),
         F.concat(F.lit("  <ctml:source"), attribute("kind", F.col("the_source")), F.lit(">")), tag(4, "uri", F.col("at")), tag(4, "note", F.concat(F.lit("ref="), F.col("the_ref"), F.coalesce(from_path, F.lit("")))), "  </ctml:source>", "</ctml:tournament>", "")
-    t = t.withColumn("base", F.concat_ws("-", text.slug(F.when(F.trim("ref") != "", F.col("ref")).otherwise((F.col(order) + 1).cast("string"))), text.slug(F.col("event"), "event"))).withColumn("xml", xml)
-    return unique_names(t, "base", order).select("id", "file_name", "xml")
+    # names are dealt before the text is made, so that no document is shuffled
+    t = t.withColumn("base", F.concat_ws("-", text.slug(F.when(F.trim("ref") != "", F.col("ref")).otherwise((F.col(order) + 1).cast("string"))), text.slug(F.col("event"), "event")))
+    return unique_names(t, "base", order).select("id", "file_name", xml.alias("xml"))
 
 
 def skip_counts(tables: DataFrame) -> DataFrame:
