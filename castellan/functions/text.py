@@ -73,6 +73,17 @@ def token_jaccard(a: Column, b: Column) -> Column:
     return F.when((a == "") | (b == ""), 0.0).otherwise(F.size(F.array_intersect(x, y)) / F.size(F.array_union(x, y)))
 
 
+def key_words(k: Column) -> Column:
+    """The distinct words of a key in order, none for an empty one."""
+    return F.array_sort(F.array_distinct(F.array_remove(F.split(k, " "), "")))
+
+
+def words_jaccard(x: Column, y: Column) -> Column:
+    """token_jaccard of two keys whose distinct words are known."""
+    common = F.size(F.array_intersect(x, y))
+    return F.when((F.size(x) == 0) | (F.size(y) == 0), 0.0).otherwise(common / (F.size(x) + F.size(y) - common))
+
+
 def escape_rule(x: Column) -> Column:
     return F.replace(F.replace(x, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
 

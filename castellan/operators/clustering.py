@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -46,6 +47,32 @@ def components(edges: DataFrame) -> DataFrame:
         seen = state
 
 
+#: Records of a block that meet in one cell, ids of a key that are multiplied out at a time, and pairs of a task.
+SLICE, PIECE, PAIRS_A_TASK = 1024, 32, 1 << 23
+
+
+def scored_pairs(records: DataFrame, block: list[str], idx: str, key: str, score: Callable[[Column, Column], Column], name: str) -> DataFrame:
+    """a, b and a score: all pairs a < b of the records of a block, scored by a symmetric function of their keys.
+
+    Two keys are scored once and the score goes to all pairs of their ids. A block is dealt into slices and every two slices, or one with
+    itself, meet in a cell of their own, so neither a frequent key nor a large block lies in one task. Both sides cut the ids of a key into
+    the same pieces, as they are sorted."""
+    per_block = records.groupBy(*block).agg(F.count("*").alias("n"))
+    pairs = per_block.agg(F.sum(F.col("n").cast("double") * F.col("n") / 2)).first()[0] or 0
+    tasks = max(records.sparkSession.sparkContext.defaultParallelism, int(pairs / PAIRS_A_TASK))
+    sliced = records.join(per_block.select(*block, F.ceil(F.col("n") / SLICE).alias("slices")), block).withColumn("slice", F.pmod(F.xxhash64(idx), "slices"))
+    groups = sliced.groupBy(*block, "slices", "slice", F.col(key).alias("key")).agg(F.sort_array(F.collect_list(idx)).alias("all"))
+    pieces = groups.select(*block, "slices", "slice", "key", F.posexplode(F.expr(f"transform(sequence(0, (size(all) - 1) div {PIECE}), i -> slice(all, i * {PIECE} + 1, {PIECE}))")).alias("piece", "ids"))
+    held = pieces.withColumn("piece", F.struct("slice", "key", "piece"))
+    cell = [*block, "low", "high"]
+    x = held.withColumn("high", F.explode(F.expr("sequence(slice, slices - 1)"))).select(*block, F.col("slice").alias("low"), "high", F.col("piece").alias("x"), F.col("ids").alias("xs"))
+    y = held.withColumn("low", F.explode(F.expr("sequence(0L, slice)"))).select(*block, "low", F.col("slice").alias("high"), F.col("piece").alias("y"), F.col("ids").alias("ys"))
+    met = x.repartition(tasks, *cell).join(y.repartition(tasks, *cell), cell).filter("x <= y")
+    scored = met.select("xs", "ys", (F.col("x") == F.col("y")).alias("same"), score(F.col("x.key"), F.col("y.key")).alias(name))
+    each = scored.select("ys", "same", name, F.explode("xs").alias("x")).select("same", name, "x", F.explode("ys").alias("y")).filter("if(same, x < y, x <> y)")
+    return each.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), name)
+
+
 def linked_facts(facts: DataFrame, most_in_block: int | None = 400) -> DataFrame:
     """a, b: records that are one tournament.
 

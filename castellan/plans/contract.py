@@ -351,10 +351,9 @@ def page_type_cross(spark, sf_dir):
 @query("token_jaccard_pairs", r"""WITH k AS (SELECT p_partkey, list_distinct(string_split(lower(p_name || ' ' || p_type), ' ')) AS w, split_part(p_name, ' ', 1) AS b, p_size FROM part)
     SELECT x.p_partkey AS a, y.p_partkey AS b, round(len(list_intersect(x.w, y.w)) / len(list_distinct(list_concat(x.w, y.w))), 6) AS jaccard FROM k x JOIN k y ON x.b = y.b AND x.p_size = y.p_size AND x.p_partkey < y.p_partkey""")
 def token_jaccard_pairs(spark, sf_dir):
-    k = table(spark, sf_dir, "part").select("p_partkey", text.name_key(F.concat_ws(" ", "p_name", "p_type")).alias("k"), F.split_part("p_name", F.lit(" "), F.lit(1)).alias("block"), "p_size")
-    x, y = k.alias("x"), k.alias("y")
-    j = x.join(y, (F.col("x.block") == F.col("y.block")) & (F.col("x.p_size") == F.col("y.p_size")) & (F.col("x.p_partkey") < F.col("y.p_partkey")))
-    return j.select(F.col("x.p_partkey").alias("a"), F.col("y.p_partkey").alias("b"), F.round(text.token_jaccard(F.col("x.k"), F.col("y.k")), 6).alias("jaccard"))
+    words = text.key_words(text.name_key(F.concat_ws(" ", "p_name", "p_type")))
+    k = table(spark, sf_dir, "part").select("p_partkey", words.alias("words"), F.split_part("p_name", F.lit(" "), F.lit(1)).alias("block"), "p_size")
+    return clustering.scored_pairs(k, ["block", "p_size"], "p_partkey", "words", lambda x, y: F.round(text.words_jaccard(x, y), 6), "jaccard")
 
 
 @query("sequence_ratio_pairs")
